@@ -7,12 +7,20 @@ speak about the same rows.
 from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lethe.config import KeyPath, bind_as_of
-from lethe.operators.sizing import VALUE, Measured, keyed_join, measured, present_values
+from lethe.operators.sizing import (
+    VALUE,
+    Measured,
+    keyed_join,
+    measured,
+    present_values,
+    sized,
+)
 
 _UUID = "^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
 
@@ -49,12 +57,12 @@ def guarded_match(path: KeyPath, as_of: str | None = None) -> Column:
     return F.when(F.expr(bind_as_of(path.where, as_of)), match) if path.where else match
 
 
-def _reached(frame: DataFrame, carry: str | None) -> Measured:
+def _condensed(frame: DataFrame, carry: str | None) -> DataFrame:
     """Each non-NULL value once, with the lowest carried number."""
     frame = frame.where(F.col(VALUE).isNotNull())
     if carry is None:
-        return measured(frame.select(VALUE).distinct())
-    return measured(frame.groupBy(VALUE).agg(F.min(carry).alias(carry)))
+        return frame.select(VALUE).distinct()
+    return frame.groupBy(VALUE).agg(F.min(carry).alias(carry))
 
 
 def _parent_links(path: KeyPath, depth: int, tables: dict[str, DataFrame]) -> DataFrame:
@@ -69,20 +77,22 @@ def _parent_links(path: KeyPath, depth: int, tables: dict[str, DataFrame]) -> Da
 
 
 def reach_levels(
-    path: KeyPath, keys: DataFrame, tables: dict[str, DataFrame], carry: str | None = None
+    path: KeyPath, keys: Measured, tables: dict[str, DataFrame], carry: str | None = None
 ) -> list[Measured]:
     """Values reached at each level: first the typed keys, last the target's."""
     columns = [typed_key(path).alias(VALUE)] + ([carry] if carry else [])
-    levels = [_reached(keys.select(*columns), carry)]
+    # at most one value per key and none longer than its key: the keys' size is a bound
+    typed = _condensed(keys.frame.select(*columns), carry)
+    levels = [Measured(typed, keys.rows, keys.bytes)]
     for depth in range(len(path.hops) - 1, -1, -1):
         links = _parent_links(path, depth, tables)
         how = "inner" if carry else "left_semi"
         joined = keyed_join(links, F.col("_up"), levels[-1], how)
-        levels.append(_reached(joined.withColumnRenamed("_down", VALUE), carry))
+        levels.append(measured(_condensed(joined.withColumnRenamed("_down", VALUE), carry)))
     return levels
 
 
-def reach(path: KeyPath, keys: DataFrame, tables: dict[str, DataFrame]) -> Measured:
+def reach(path: KeyPath, keys: Measured, tables: dict[str, DataFrame]) -> Measured:
     """Join values at the target's end of the path, each with its lowest chunk.
 
     The lowest ``chunk_no`` is the chunk that would get to the value first.
@@ -92,19 +102,26 @@ def reach(path: KeyPath, keys: DataFrame, tables: dict[str, DataFrame]) -> Measu
 
 @dataclass
 class Reacher:
-    """Reached values of one batch and group, computed once per distinct path."""
+    """Reached values of one batch and group, computed once per distinct path.
+
+    ``keys`` (key_no, chunk_no) should be durable: it is read more than once.
+    """
 
     keys: DataFrame
     tables: dict[str, DataFrame]
     as_of: str | None = None
     _known: dict = field(default_factory=dict)
 
+    @cached_property
+    def sized_keys(self) -> Measured:
+        return sized(self.keys)
+
     def values(self, path: KeyPath) -> Measured:
         key = replace(path, where=None)
         if not path.hops:  # the same keys in the same type, whatever the column
             key = replace(key, column="")
         if key not in self._known:
-            self._known[key] = reach(path, self.keys, self.tables)
+            self._known[key] = reach(path, self.sized_keys, self.tables)
         return self._known[key]
 
 
@@ -118,7 +135,7 @@ def found_keys(
     sets of values travel, never (key, row) pairs.
     """
     keys = keys.select("key_no")
-    levels = reach_levels(path, keys, tables)
+    levels = reach_levels(path, sized(keys), tables)
     present = present_values(eligible(target, path, as_of), match_column(path), levels[-1])
     for depth in range(len(path.hops)):
         links = _parent_links(path, depth, tables)

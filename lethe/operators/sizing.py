@@ -56,8 +56,7 @@ class Measured:
         return F.broadcast(self.frame) if self.broadcastable() else self.frame
 
 
-def measured(frame: DataFrame) -> Measured:
-    """Write ``frame`` to the checkpoint folder, counting it on the way."""
+def _size_columns(frame: DataFrame) -> list[Column]:
     width = sum(
         (
             F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8
@@ -65,11 +64,20 @@ def measured(frame: DataFrame) -> Measured:
         ),
         F.lit(0),
     )
+    return [F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")]
+
+
+def measured(frame: DataFrame) -> Measured:
+    """Write ``frame`` to the checkpoint folder, counting it on the way."""
     seen = Observation(f"lethe-{next(_numbers)}")
-    durable = frame.observe(
-        seen, F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")
-    ).checkpoint()
-    return Measured(durable, seen.get["rows"] or 0, seen.get["bytes"] or 0)
+    written = frame.observe(seen, *_size_columns(frame)).checkpoint()
+    return Measured(written, seen.get["rows"] or 0, seen.get["bytes"] or 0)
+
+
+def sized(frame: DataFrame) -> Measured:
+    """Count a frame that is cheap to read again, as a durable one is."""
+    size = frame.agg(*_size_columns(frame)).first()
+    return Measured(frame, size["rows"], size["bytes"] or 0)
 
 
 def durable(frame: DataFrame) -> DataFrame:

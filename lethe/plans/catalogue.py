@@ -23,14 +23,12 @@ from lethe.operators.masking import (
 )
 from lethe.operators.purge import doomed_counts, estimate_delete, purge_audit, survivors, union_all
 from lethe.operators.reach import Reacher, eligible, match_column
-from lethe.operators.sizing import durable, keyed_join, measured
+from lethe.operators.sizing import durable, keyed_join
 from lethe.operators.tasks import (
-    NOT_FOUND,
     expand_tasks,
     first_rule,
     group_scope,
     missing_keys,
-    validate_root,
 )
 from lethe.plans import erasure, overlay
 from lethe.plans import masking as mask_plan
@@ -178,7 +176,7 @@ def table_snapshot_write(o):
 def snapshot_expire(o):
     store = _nation_store(o)
     result = store.expire(keep_last=1)
-    removed = sum("/customer/" in path for path in result["removed"])
+    removed = sum("/c_nationkey=" in path for path in result["removed"])
     return store.read("customer").agg(
         F.count(F.lit(1)).alias("rows_left"),
         F.lit(removed).cast("bigint").alias("partitions_removed"),
@@ -909,12 +907,10 @@ def chk_overlap_groups(o):
 
 @query()
 def stream_requests(o):
-    folder = f"{work_folder(o)}/requests"
     requests = o.raw_keys.where("key_type = 'CUSTOMER_ID'").withColumn(
         "requested_at", F.lit(overlay.STARTED_AT).cast("timestamp")
     )
-    writer = requests.repartition(2).write.option("header", True)
-    writer.option("ignoreLeadingWhiteSpace", False).csv(folder)
+    folder = _written_csv(o, requests.coalesce(2))
     store = new_store(o, {t: () for t in ("customer", "orders", "lineitem", "events")})
     stream = read_requests(o.spark, folder, files_per_trigger=1)
     config = only("CUST_EVENTS", "CUST_ORDERS")
@@ -932,7 +928,7 @@ def _event_stream(o: Overlay) -> DataFrame:
 @query()
 def stream_suppress(o):
     out = f"{work_folder(o)}/events"
-    erased = measured(o.all_keys_reacher("CUST_EVENTS").values(KeyPath("user_id", "bigint")).frame)
+    erased = o.all_keys_reacher("CUST_EVENTS").values(KeyPath("user_id", "bigint"))
     start_suppression(
         _event_stream(o), F.col("user_id"), lambda: erased, out, f"{out}-checkpoint"
     ).awaitTermination()
@@ -942,7 +938,7 @@ def stream_suppress(o):
 @query()
 def stream_suppress_mask(o):
     out = f"{work_folder(o)}/events"
-    erased = measured(o.all_keys_reacher("CUST_EVENTS").values(KeyPath("user_id", "bigint")).frame)
+    erased = o.all_keys_reacher("CUST_EVENTS").values(KeyPath("user_id", "bigint"))
     start_suppression(
         _event_stream(o), F.col("user_id"), lambda: erased, out, f"{out}-checkpoint",
         {"props": masks.mask_null(), "user_id": F.lit(-1)},

@@ -30,7 +30,7 @@ def _extended(table: str, extra: dict[str, str]) -> str:
     return f"SELECT *, {', '.join(f'{sql} AS {name}' for name, sql in extra.items())} FROM {table}"
 
 
-_TRIM = r"regexp_replace({0}, '^[\s\x{{3000}}]+|[\s\x{{3000}}]+$', '', 'g')"
+_TRIM = r"regexp_replace({0}, '^[\s\x{{a0}}\x{{3000}}]+|[\s\x{{a0}}\x{{3000}}]+$', '', 'g')"
 _INGESTED = "TIMESTAMP '2025-01-01 00:00:00'"
 _STARTED = "TIMESTAMP '2025-02-01 00:00:00'"
 
@@ -199,7 +199,7 @@ SUBQUERIES = {
             ('CUSTOMER_ID', 'DUMMY-99901'), ('CUSTOMER_ID', 'DUMMY-99902'),
             ('CUSTOMER_ID', '007'), ('CUSTOMER_ID', ''), ('CUSTOMER_ID', '   '),
             ('CUSTOMER_ID', 'NA'), ('CUSTOMER_ID', NULL), ('ORDER_NO', 'DUMMY-99901'),
-            ('SESSION', ' DUMMY-99903' || chr(12288)))""",
+            ('SESSION', chr(160) || 'DUMMY-99903' || chr(12288)))""",
     "clean_keys": f"""
         SELECT key_type, {_TRIM.format('key_no')} AS key_no FROM raw_keys
         WHERE key_no IS NOT NULL
@@ -723,7 +723,8 @@ _BODIES = {
             CAST(declared_length AS INTEGER) AS declared_length,
             CAST(max(length(after)) AS INTEGER) AS longest_mask,
             coalesce(max(length(after)) > declared_length, FALSE) AS too_long
-        FROM masked_pairs JOIN lim USING (column_name) GROUP BY ALL""",
+        FROM masked_pairs JOIN lim USING (column_name)
+        GROUP BY target_table, column_name, declared_length""",
     "chk_unmasked_leak": """
         WITH d AS (SELECT *, regexp_replace(before, '[^0-9]', '', 'g') AS b,
             regexp_replace(after, '[^0-9]', '', 'g') AS a FROM masked_pairs)

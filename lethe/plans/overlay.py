@@ -173,7 +173,7 @@ STRAY_KEYS = (
     ("CUSTOMER_ID", "NA"),
     ("CUSTOMER_ID", None),
     ("ORDER_NO", "DUMMY-99901"),
-    ("SESSION", " DUMMY-99903　"),
+    ("SESSION", "\u00a0DUMMY-99903\u3000"),
 )
 
 

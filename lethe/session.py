@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import tempfile
+from weakref import WeakSet
 
 from pyspark.sql import SparkSession
 
 from lethe.functions.masks import register_mask_functions
 
 
+_prepared: WeakSet[SparkSession] = WeakSet()
+
+
 def build_session(app: str = "lethe", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -28,8 +32,10 @@ def build_session(app: str = "lethe", master: str | None = None, **conf: str) ->
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Make an existing session ready: mask functions and checkpoint folder."""
-    register_mask_functions(spark)
-    shared_folder(spark)
+    if spark not in _prepared:
+        register_mask_functions(spark)
+        shared_folder(spark)
+        _prepared.add(spark)
     return spark
 
 
