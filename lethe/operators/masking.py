@@ -5,12 +5,14 @@ from __future__ import annotations
 import re
 import warnings
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lethe.config import KeyPath, MaskingRule
+from lethe.operators.parallel import in_parallel
 from lethe.operators.purge import union_all
 from lethe.operators.reach import Reacher, eligible, guarded_match, match_column
 from lethe.operators.sizing import keyed_join, matched_counts
@@ -83,6 +85,7 @@ def rule_grouping(rules: DataFrame, max_order: int | None = None) -> DataFrame:
 
 def estimate_mask(rules: list[MaskingRule], reacher: Reacher) -> DataFrame:
     """Rows to mask per rule; columns that share a path share one count."""
+    reacher.prepare([r.path for r in rules])
     parts = []
     for step in mask_steps(rules):
         target = eligible(reacher.tables[step.target_table], step.path, reacher.as_of)
@@ -133,18 +136,21 @@ def mask_preview(
     fails on the data gives a warning and an empty preview.
     """
     spark = reacher.keys.sparkSession
-    rows = []
-    for rule in rules:
+    reacher.prepare([r.path for r in rules])
+
+    def sample(rule: MaskingRule) -> tuple:
         try:
             # at most PREVIEW_ROWS rows come back
-            sample = preview_rows(rule, reacher, parameters).select("before", "after").collect()
+            found = preview_rows(rule, reacher, parameters).select("before", "after").collect()
         except (PySparkException, ValueError) as failure:
             warnings.warn(
                 f"no preview for {rule.target_table}.{rule.column_name}: {failure}", stacklevel=2
             )
-            sample = []
-        pairs = [(r["before"], r["after"]) for r in sample]
-        rows.append((rule.group_code, rule.target_table, rule.column_name, pairs))
+            found = []
+        pairs = [(r["before"], r["after"]) for r in found]
+        return rule.group_code, rule.target_table, rule.column_name, pairs
+
+    rows = in_parallel(partial(sample, rule) for rule in rules)
     return spark.createDataFrame(
         rows,
         "group_code string, target_table string, column_name string, "
@@ -173,6 +179,7 @@ def mask_apply(
     is itself a join key hides nothing from later steps.  Each step is one
     projection whose expressions all see the row as the step found it.
     """
+    reacher.prepare([s.path for s in steps])
     columns = target.columns
     types = {f.name: f.dataType for f in target.schema.fields}
     marks: dict[KeyPath, str] = {}
@@ -200,6 +207,7 @@ def mask_apply(
 
 def mask_audit(steps: list[MaskStep], reacher: Reacher) -> DataFrame:
     """Masked rows per chunk and step, zeros included."""
+    reacher.prepare([s.path for s in steps])
     chunks = reacher.keys.select(F.col("chunk_no").alias("chunk_number")).distinct()
     parts = []
     for step in steps:

@@ -33,6 +33,7 @@ def doomed_counts(rule: DeletionRule, reacher: Reacher) -> DataFrame:
 
 def estimate_delete(rules: list[DeletionRule], reacher: Reacher) -> DataFrame:
     """Rows to delete per rule, bottom-up; a rule that reaches nothing counts 0."""
+    reacher.prepare([r.path for r in rules])
     return union_all(
         [
             doomed_counts(rule, reacher)
@@ -93,6 +94,7 @@ def by_table(rules: list[DeletionRule]) -> dict[str, list[DeletionRule]]:
 
 def purge_audit(rules: list[DeletionRule], reacher: Reacher) -> DataFrame:
     """Deleted rows per chunk and rule, zeros included."""
+    reacher.prepare([r.path for r in rules])
     chunks = reacher.keys.select("chunk_no").distinct()
     parts = []
     for members in by_table(rules).values():

@@ -7,12 +7,13 @@ speak about the same rows.
 from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lethe.config import KeyPath, bind_as_of
+from lethe.operators.parallel import in_parallel
 from lethe.operators.sizing import (
     VALUE,
     Measured,
@@ -116,17 +117,26 @@ class Reacher:
     def sized_keys(self) -> Measured:
         return sized(self.keys)
 
+    @staticmethod
+    def _identity(path: KeyPath) -> KeyPath:
+        # without a hop: the same keys in the same type, whatever the column
+        return replace(path, where=None, column=path.column if path.hops else "")
+
+    def prepare(self, paths: list[KeyPath]) -> Reacher:
+        """Compute the values of several paths side by side."""
+        missing = {self._identity(p): p for p in paths if self._identity(p) not in self._known}
+        if missing:
+            keys, tables = self.sized_keys, self.tables
+            found = in_parallel(partial(reach, p, keys, tables) for p in missing.values())
+            self._known.update(zip(missing, found, strict=True))
+        return self
+
     def values(self, path: KeyPath) -> Measured:
-        key = replace(path, where=None)
-        if not path.hops:  # the same keys in the same type, whatever the column
-            key = replace(key, column="")
-        if key not in self._known:
-            self._known[key] = reach(path, self.sized_keys, self.tables)
-        return self._known[key]
+        return self.prepare([path])._known[self._identity(path)]
 
 
 def found_keys(
-    path: KeyPath, target: DataFrame, keys: DataFrame, tables: dict[str, DataFrame],
+    path: KeyPath, target: DataFrame, keys: Measured, tables: dict[str, DataFrame],
     as_of: str | None = None,
 ) -> DataFrame:
     """Distinct ``key_no`` that reach at least one row of ``target``.
@@ -134,15 +144,14 @@ def found_keys(
     Values are followed down to the target and their presence back up, so only
     sets of values travel, never (key, row) pairs.
     """
-    keys = keys.select("key_no")
-    levels = reach_levels(path, sized(keys), tables)
+    levels = reach_levels(path, keys, tables)
     present = present_values(eligible(target, path, as_of), match_column(path), levels[-1])
     for depth in range(len(path.hops)):
         links = _parent_links(path, depth, tables)
         kept = keyed_join(links, F.col("_down"), measured(present), "left_semi")
         present = present_values(kept, F.col("_up"), levels[-2 - depth])
     return (
-        keys.withColumn(VALUE, typed_key(path))
+        keys.frame.select("key_no", typed_key(path).alias(VALUE))
         .join(present, VALUE, "left_semi")
         .select("key_no")
         .distinct()

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from lethe.config import KeyPath
 from lethe.operators.purge import union_all
 from lethe.operators.reach import found_keys
+from lethe.operators.sizing import sized_groups
 from lethe.operators.tasks import COMPLETED, FAILED, NOT_FOUND, PENDING, VALIDATED
 
 
@@ -185,10 +186,12 @@ def residual(
     as_of: str | None = None,
 ) -> DataFrame:
     """Per group: completed keys that still reach a row of the group's root table."""
+    completed = tasks.where(F.col("status") == COMPLETED)
+    sized = sized_groups(completed.select("group_code", "key_no"), "group_code", list(roots))
     parts = []
     for code, (table, path) in sorted(roots.items()):
-        keys = tasks.where((F.col("group_code") == code) & (F.col("status") == COMPLETED))
-        leaked = found_keys(path, tables[table], keys, tables, as_of).agg(
+        keys = completed.where(F.col("group_code") == code)
+        leaked = found_keys(path, tables[table], sized[code], tables, as_of).agg(
             F.count(F.lit(1)).alias("leaked_residual_keys")
         )
         checked = keys.groupBy("batch_id", "group_code").agg(

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import partial, reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lethe.config import DeletionConfig, MaskingConfig
+from lethe.operators.parallel import in_parallel
 from lethe.operators.reach import found_keys
+from lethe.operators.sizing import sized_groups
 
 PENDING = "PENDING"
 NOT_FOUND = "NOT_FOUND"
@@ -68,29 +72,29 @@ def relabel(
 
 
 def _found(config, rule_of, tasks, tables, from_statuses, as_of) -> DataFrame | None:
-    parts = []
-    for code in sorted({r.group_code for r in config.rules}):
-        rule = rule_of(code)
-        if rule is None:
-            continue
-        keys = tasks.where(
-            (F.col("group_code") == code) & F.col("status").isin(*from_statuses)
-        )
-        hits = found_keys(rule.path, tables[rule.target_table], keys, tables, as_of)
-        parts.append(hits.select(F.lit(code).alias("group_code"), "key_no"))
-    if not parts:
+    codes = sorted({r.group_code for r in config.rules})
+    rules = {code: rule for code in codes if (rule := rule_of(code)) is not None}
+    if not rules:
         return None
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
-    return found
+    open_tasks = tasks.where(F.col("status").isin(*from_statuses))
+    keys = sized_groups(open_tasks.select("group_code", "key_no"), "group_code", list(rules))
+
+    def hits(code: str) -> DataFrame:
+        rule = rules[code]
+        found = found_keys(rule.path, tables[rule.target_table], keys[code], tables, as_of)
+        return found.select(F.lit(code).alias("group_code"), "key_no")
+
+    return reduce(DataFrame.unionByName, in_parallel(partial(hits, code) for code in rules))
 
 
 def validate_root(
     tasks: DataFrame, config: DeletionConfig, tables: dict[str, DataFrame],
     group_codes: list[str] | None = None, as_of: str | None = None, revalidate: bool = False,
 ) -> DataFrame:
-    """Label PENDING tasks by whether the group's root rule reaches a row."""
+    """Label PENDING tasks by whether the group's root rule reaches a row.
+
+    ``tasks`` should be durable: they are sized, searched and labelled.
+    """
     statuses = (PENDING, NOT_FOUND) if revalidate else (PENDING,)
 
     def rule_of(code):

@@ -21,7 +21,7 @@ from lethe.operators.masking import (
     preview_unpack,
     rule_grouping,
 )
-from lethe.operators.purge import doomed_counts, estimate_delete, purge_audit, survivors, union_all
+from lethe.operators.purge import doomed_counts, estimate_delete, survivors, union_all
 from lethe.operators.reach import Reacher, eligible, match_column
 from lethe.operators.sizing import durable, keyed_join
 from lethe.operators.tasks import (
@@ -513,8 +513,7 @@ def purge_multi_group(o):
 
 
 def _purge_audit(o):
-    parts = [purge_audit(DELETION.rules_of(c), o.reacher(c)) for c in ALL_GROUPS]
-    return union_all(parts).select(*AUDIT_COLUMNS)
+    return o.audit_of(ALL_GROUPS).select(*AUDIT_COLUMNS)
 
 
 QUERIES["purge_audit"] = lambda s, d: _purge_audit(Overlay(s, d))
@@ -642,10 +641,9 @@ def _changed_rows(before: DataFrame, after: DataFrame, key: str, column: str) ->
 def mask_max_order(o):
     """Orders up to 1 leave the second table as it was."""
     steps = mask_steps(MASKING.rules_of("CUST_PII", 1))
-    after = dict(o.pii_tables)
-    for table in {s.target_table for s in steps}:
-        after[table] = _masked(o, "CUST_PII", table, 1)
     before = o.pii_tables
+    masked = {s.target_table: _masked(o, "CUST_PII", s.target_table, 1) for s in steps}
+    after = before.replaced(masked)
     return union_all(
         [
             _changed_rows(before["customer"], after["customer"], "c_custkey", "address"),
@@ -735,11 +733,12 @@ def _residual(o: Overlay) -> DataFrame:
         .otherwise(F.col("status")),
     )
     finished = durable(finished)
-    tables = {
-        **o.tables,
-        "customer": o.purged("CUST_ORDERS")["customer"],
-        "events": o.purged("CUST_EVENTS")["events"],
-    }
+    tables = o.tables.replaced(
+        {
+            "customer": o.purged("CUST_ORDERS")["customer"],
+            "events": o.purged("CUST_EVENTS")["events"],
+        }
+    )
     roots = {
         c: (DELETION.root_rule(c).target_table, DELETION.root_rule(c).path)
         for c in REPORT_GROUPS
@@ -815,8 +814,9 @@ def chk_unique_collision(o):
 def chk_column_exists(o):
     rules = [*MASKING.rules, MaskingRule("CUST_PII", "part", "owner", "NULL", KeyPath("p_partkey"))]
     config = type(MASKING)(MASKING.groups, rules)
+    tables = {r.target_table: o.pii_tables[r.target_table] for r in rules}
     status = o.spark.createDataFrame(
-        checks.column_status(config, o.pii_tables, {("customer", "phone"): 15}),
+        checks.column_status(config, tables, {("customer", "phone"): 15}),
         "group_code string, target_table string, column_name string, status string",
     )
     sizes = _left(o.pii_tables, ("customer", "orders", "events", "part"))
@@ -874,7 +874,7 @@ def chk_cascade_scope(o):
 @query()
 def chk_orphans(o):
     """After a purge of customers and orders that forgot the lines and events."""
-    kept = {**o.purged("CUST_ORDERS"), "lineitem": o.tables["lineitem"]}
+    kept = o.purged("CUST_ORDERS").replaced({"lineitem": o.tables["lineitem"]})
     return union_all([checks.orphans(r, kept) for r in overlay.RELATIONS])
 
 

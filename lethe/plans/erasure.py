@@ -3,14 +3,22 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lethe.config import DeletionConfig, KeyPath
+from lethe.config import DeletionConfig, DeletionRule, KeyPath
 from lethe.operators.configtables import replace_scope
 from lethe.operators.numbering import assign_chunks
-from lethe.operators.purge import by_table, estimate_delete, purge_audit, survivors
+from lethe.operators.parallel import in_parallel
+from lethe.operators.purge import (
+    by_table,
+    estimate_delete,
+    purge_audit,
+    survivors,
+    union_all,
+)
 from lethe.operators.reach import Reacher, eligible, match_column
 from lethe.operators.sizing import durable, keyed_join
 from lethe.operators.tasks import (
@@ -116,20 +124,22 @@ def run_deletion_dry_run(
         validate_root(tasks, config, tables, scope, as_of, revalidate)
     )
 
-    parts = None
-    for code in scope:
-        keys = tasks.where(
-            (F.col("group_code") == code) & (F.col("status") == VALIDATED)
-        ).select("key_no", F.lit(1).alias("chunk_no"))
-        part = estimate_delete(config.rules_of(code), Reacher(keys, tables, as_of))
-        parts = part if parts is None else parts.unionByName(part)
+    valid = tasks.where(F.col("status") == VALIDATED)
+
+    def estimate(code: str) -> DataFrame:
+        keys = valid.where(F.col("group_code") == code).select(
+            "key_no", F.lit(1).alias("chunk_no")
+        )
+        return estimate_delete(config.rules_of(code), Reacher(keys, tables, as_of))
+
+    parts = union_all(in_parallel(partial(estimate, code) for code in scope))
     estimates = conform(
         parts.withColumn("batch_id", F.lit(batch_id)).withColumn("executed_at", now()),
         SUMMARY_SCHEMA,
     )
     old = batch_rows(read_or_empty(store, SUMMARY, SUMMARY_SCHEMA), batch_id)
-    summary = durable(
-        replace_scope(conform(old, SUMMARY_SCHEMA), durable(estimates), ["batch_id", "group_code"])
+    summary = replace_scope(
+        conform(old, SUMMARY_SCHEMA), durable(estimates), ["batch_id", "group_code"]
     )
     with store.begin() as change:
         replace_batch(change, TASKS, tasks, batch_id)
@@ -175,7 +185,7 @@ def run_deletion(
             if rules:
                 _purge_group(store, change, config, batch_id, runnable, rules, as_of)
             tasks = complete_tasks(all_tasks, is_runnable(code), now(), up_to, last)
-            replace_batch(change, TASKS, durable(conform(tasks, TASK_SCHEMA)), batch_id)
+            replace_batch(change, TASKS, conform(tasks, TASK_SCHEMA), batch_id)
         done += 1
     return done
 
@@ -186,15 +196,18 @@ def _purge_group(store, change, config, batch_id, runnable, rules, as_of) -> Non
     keys = durable(chunked.select("key_no", "chunk_no"))
     reacher = Reacher(keys, target_tables(store, rules), as_of)
     audit = durable(purge_audit(rules, reacher))
-    for name, members in by_table(rules).items():
-        table = change.tables[name]
+
+    def rewrite(name: str, members: list[DeletionRule]) -> None:
         kept = survivors(members, reacher)
-        if table.partition_by:
+        partition_by = change.tables[name].partition_by
+        if partition_by:
             paths = [r.path for r in members]
-            touched = touched_partitions(paths, name, reacher, table.partition_by)
+            touched = touched_partitions(paths, name, reacher, partition_by)
             change.rewrite_touched(name, kept, touched)
         else:
             change.overwrite(name, kept)
+
+    in_parallel(partial(rewrite, n, members) for n, members in by_table(rules).items())
     entries = audit.withColumns(
         {"batch_id": F.lit(batch_id), "started_at": started, "executed_at": now()}
     )

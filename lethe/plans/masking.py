@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,8 @@ from lethe.operators.masking import (
     mask_steps,
 )
 from lethe.operators.numbering import assign_chunks
+from lethe.operators.parallel import in_parallel
+from lethe.operators.purge import union_all
 from lethe.operators.reach import Reacher
 from lethe.operators.sizing import durable
 from lethe.operators.tasks import (
@@ -82,21 +85,21 @@ def run_masking_dry_run(
     tables = erasure.target_tables(store, [r for c in scope for r in config.rules_of(c)])
     tasks = durable(validate_first(tasks, config, tables, scope, as_of))
 
-    summaries = None
-    for code in scope:
-        keys = tasks.where(
-            (F.col("group_code") == code) & (F.col("status") == VALIDATED)
-        ).select("key_no", F.lit(1).alias("chunk_no"))
-        if keys.isEmpty():
-            continue
+    valid = tasks.where(F.col("status") == VALIDATED)
+    with_keys = [r.group_code for r in group_scope(valid, groups).collect()]
+
+    def summarise(code: str) -> DataFrame:
+        keys = valid.where(F.col("group_code") == code).select(
+            "key_no", F.lit(1).alias("chunk_no")
+        )
         rules = config.rules_of(code)
         reacher = Reacher(keys, tables, as_of)
-        part = estimate_mask(rules, reacher).join(
-            F.broadcast(mask_preview(rules, reacher, parameters)),  # one row per rule
-            ["group_code", "target_table", "column_name"],
+        previews = mask_preview(rules, reacher, parameters)  # one row per rule
+        return estimate_mask(rules, reacher).join(
+            F.broadcast(previews), ["group_code", "target_table", "column_name"]
         )
-        summaries = part if summaries is None else summaries.unionByName(part)
 
+    parts = in_parallel(partial(summarise, code) for code in scope if code in with_keys)
     old = batch_rows(read_or_empty(store, SUMMARY, SUMMARY_SCHEMA), batch_id)
     if group_code is not None:
         old = old.where(F.col("group_code") != group_code)
@@ -104,12 +107,12 @@ def run_masking_dry_run(
         old = old.where(F.lit(False))
     columns = [c.split()[0] for c in _SUMMARY_TEXT.split(", ")] + ["sample_preview"]
     old = old.select(*columns)
-    if summaries is not None:
-        new = summaries.withColumns({"batch_id": F.lit(batch_id), "created_at": now()})
+    if parts:
+        new = union_all(parts).withColumns({"batch_id": F.lit(batch_id), "created_at": now()})
         old = replace_scope(old, durable(new.select(*columns)), ["batch_id", "group_code"])
     with store.begin() as change:
         replace_batch(change, TASKS, tasks, batch_id)
-        replace_batch(change, SUMMARY, durable(old), batch_id)
+        replace_batch(change, SUMMARY, old, batch_id)
     return len(scope)
 
 
@@ -141,7 +144,7 @@ def run_masking(
                         store, change, config, batch_id, runnable, rules, as_of, parameters
                     )
                 tasks = complete_tasks(all_tasks, which, now(), up_to, orders[-1])
-                replace_batch(change, TASKS, durable(conform(tasks, TASK_SCHEMA)), batch_id)
+                replace_batch(change, TASKS, conform(tasks, TASK_SCHEMA), batch_id)
             ran = True
         done += ran
     return done
@@ -154,7 +157,9 @@ def _mask_group(store, change, config, batch_id, runnable, rules, as_of, paramet
     reacher = Reacher(keys, erasure.target_tables(store, rules), as_of)
     chunks = keys.select("chunk_no").distinct().count()
     durations = {}
-    for name in dict.fromkeys(s.target_table for s in steps):
+    reacher.prepare([s.path for s in steps])
+
+    def rewrite(name: str) -> None:
         began = time.monotonic()
         own = [s for s in steps if s.target_table == name]
         masked = mask_apply(reacher.tables[name], own, reacher, parameters)
@@ -166,6 +171,9 @@ def _mask_group(store, change, config, batch_id, runnable, rules, as_of, paramet
             change.overwrite(name, masked, tuple(partition_by))
         # each table is timed on its own; its chunks are masked in one go
         durations[name] = (time.monotonic() - began) / len(own) / chunks
+
+    names = dict.fromkeys(s.target_table for s in steps)
+    in_parallel(partial(rewrite, name) for name in names)
     seconds = F.create_map(*[F.lit(x) for pair in durations.items() for x in pair])
     entries = mask_audit(steps, reacher).withColumns(
         {
@@ -174,4 +182,4 @@ def _mask_group(store, change, config, batch_id, runnable, rules, as_of, paramet
             "processed_at": now(),
         }
     )
-    change.append(AUDIT, durable(conform(entries, AUDIT_SCHEMA)), ("batch_id",))
+    change.append(AUDIT, conform(entries, AUDIT_SCHEMA), ("batch_id",))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from functools import cached_property
+from collections.abc import Callable
+from functools import cached_property, partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,14 @@ from lethe.config import (
     Relation,
 )
 from lethe.operators.numbering import assign_chunks
-from lethe.operators.purge import by_table, estimate_delete, purge_audit, survivors
+from lethe.operators.parallel import in_parallel
+from lethe.operators.purge import (
+    by_table,
+    estimate_delete,
+    purge_audit,
+    survivors,
+    union_all,
+)
 from lethe.operators.reach import Reacher
 from lethe.operators.sizing import durable
 from lethe.operators.tasks import (
@@ -39,11 +47,6 @@ SECONDS_PER_CHUNK = 20
 AS_OF = "2005-01-01"  # orders older than seven years before it: until 1997
 SALT = "OVERLAY_SALT"
 
-TABLES = (
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-    "documents", "conversations",
-)
-
 # personal data derived from the customer's own columns; plain SQL of any dialect
 CUSTOMER_PII = {
     "email": """CASE c_custkey % 11
@@ -82,6 +85,8 @@ EVENTS_PII = {
     "actor": "'customer_' || lpad(CAST(user_id AS STRING), 9, '0')",
 }
 
+PII = {"customer": CUSTOMER_PII, "orders": ORDERS_PII, "events": EVENTS_PII}
+
 _order = Hop("l_orderkey", "orders", "o_orderkey")
 _customer = Hop("o_custkey", "customer", "c_custkey")
 AGED = "o_orderdate < add_months({as_of}, -84)"
@@ -177,6 +182,21 @@ STRAY_KEYS = (
 )
 
 
+class LazyTables(dict):
+    """Tables by name, opened when first asked for."""
+
+    def __init__(self, open_table: Callable[[str], DataFrame], known: dict | None = None):
+        super().__init__(known or {})
+        self._open = open_table
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self._open(name)
+        return self[name]
+
+    def replaced(self, known: dict[str, DataFrame]) -> LazyTables:
+        return LazyTables(self.__getitem__, known)
+
+
 class Overlay:
     """Frames of one batch over the tables of a directory, built when asked for."""
 
@@ -189,21 +209,16 @@ class Overlay:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     @cached_property
-    def tables(self) -> dict[str, DataFrame]:
-        return {name: self.table(name) for name in TABLES}
+    def tables(self) -> LazyTables:
+        return LazyTables(self.table)
 
     @cached_property
-    def pii_tables(self) -> dict[str, DataFrame]:
-        def extended(name, extra):
-            columns = [F.expr(sql).alias(c) for c, sql in extra.items()]
+    def pii_tables(self) -> LazyTables:
+        def extended(name: str) -> DataFrame:
+            columns = [F.expr(sql).alias(c) for c, sql in PII.get(name, {}).items()]
             return self.tables[name].select("*", *columns)
 
-        return {
-            **self.tables,
-            "customer": extended("customer", CUSTOMER_PII),
-            "orders": extended("orders", ORDERS_PII),
-            "events": extended("events", EVENTS_PII),
-        }
+        return LazyTables(extended)
 
     # -- deletion --------------------------------------------------------
 
@@ -249,7 +264,7 @@ class Overlay:
 
     @cached_property
     def pending(self) -> DataFrame:
-        return expand_tasks(self.items, self.groups)
+        return durable(expand_tasks(self.items, self.groups))
 
     @cached_property
     def tasks(self) -> DataFrame:
@@ -281,12 +296,13 @@ class Overlay:
 
     @cached_property
     def summary(self) -> DataFrame:
-        parts = None
-        for code in sorted(self.group_codes):
-            part = estimate_delete(DELETION.rules_of(code), self.reacher(code))
-            parts = part if parts is None else parts.unionByName(part)
+        self.chunked  # computed once, before the groups ask for it
+        parts = in_parallel(
+            partial(lambda code: estimate_delete(DELETION.rules_of(code), self.reacher(code)), c)
+            for c in sorted(self.group_codes)
+        )
         return durable(
-            parts.select(
+            union_all(parts).select(
                 F.lit(BATCH).alias("batch_id"), "*",
                 F.lit(INGESTED_AT).cast("timestamp").alias("executed_at"),
             )
@@ -295,18 +311,23 @@ class Overlay:
     @cached_property
     def audit(self) -> DataFrame:
         """Audit of the groups that ran, with a fixed clock."""
-        parts = None
-        for code in RUN_GROUPS:
-            part = purge_audit(DELETION.rules_of(code), self.reacher(code))
-            parts = part if parts is None else parts.unionByName(part)
         return durable(
-            parts.select(
+            self.audit_of(RUN_GROUPS).select(
                 F.lit(BATCH).alias("batch_id"), "*",
                 self.chunk_time(F.col("chunk_no") - 1).alias("started_at"),
                 self.chunk_time(F.col("chunk_no")).alias("executed_at"),
             )
         )
 
+    def audit_of(self, codes: tuple[str, ...]) -> DataFrame:
+        self.chunked  # computed once, before the groups ask for it
+        return union_all(
+            in_parallel(
+                partial(lambda code: purge_audit(DELETION.rules_of(code), self.reacher(code)), c)
+                for c in codes
+            )
+        )
+
     @cached_property
     def finished(self) -> DataFrame:
         """Tasks after the run: two groups completed, one chunk of the third failed."""
@@ -328,11 +349,11 @@ class Overlay:
             .select(*self.tasks.columns)
         )
 
-    def purged(self, group_code: str, up_to: int | None = None) -> dict[str, DataFrame]:
+    def purged(self, group_code: str, up_to: int | None = None) -> LazyTables:
         """All tables after one group's purge."""
         reacher = self.reacher(group_code)
         members = by_table(DELETION.rules_of(group_code, up_to))
-        return {**self.tables, **{n: survivors(r, reacher) for n, r in members.items()}}
+        return self.tables.replaced({n: survivors(r, reacher) for n, r in members.items()})
 
     # -- masking ---------------------------------------------------------
 
@@ -342,7 +363,7 @@ class Overlay:
 
     @cached_property
     def mask_pending(self) -> DataFrame:
-        return expand_tasks(self.items, self.mask_groups)
+        return durable(expand_tasks(self.items, self.mask_groups))
 
     @cached_property
     def mask_tasks(self) -> DataFrame:
