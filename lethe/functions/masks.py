@@ -104,7 +104,8 @@ _FUNCTIONS = {
     "fn_mask_date_shift(val TIMESTAMP, min_days INT DEFAULT -30, max_days INT DEFAULT 30)": (
         "TIMESTAMP",
         """val + make_dt_interval(CAST(min_days + fn_stable_bucket(
-                date_format(to_utc_timestamp(val, current_timezone()), 'yyyy-MM-dd HH:mm:ss'),
+                CAST(TIMESTAMP_NTZ'1970-01-01 00:00:00'
+                     + make_dt_interval(0, 0, 0, unix_seconds(val)) AS STRING),
                 max_days - min_days + 1) AS INT))""",
     ),
 }
