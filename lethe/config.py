@@ -11,8 +11,11 @@ from dataclasses import asdict, dataclass, field
 from datetime import date
 from decimal import Decimal
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: more configuration rows than this is a mistake, not a configuration
 MAX_CONFIG_ROWS = 100_000
@@ -140,14 +143,20 @@ def _bounded_rows(frame: DataFrame, order_by: list[str]) -> list:
     return rows
 
 
+def small_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A frame of a few rows held in the plan itself, without a Python data source."""
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    columns = zip(*rows, strict=True) if rows else [()] * len(arrow)
+    arrays = [pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow))
+
+
 def groups_frame(spark: SparkSession, groups: list[Group]) -> DataFrame:
-    return spark.createDataFrame([tuple(asdict(g).values()) for g in groups], GROUP_SCHEMA)
+    return small_frame(spark, [tuple(asdict(g).values()) for g in groups], GROUP_SCHEMA)
 
 
 def relations_frame(spark: SparkSession, relations: list[Relation]) -> DataFrame:
-    return spark.createDataFrame(
-        [tuple(asdict(r).values()) for r in relations], RELATION_SCHEMA
-    )
+    return small_frame(spark, [tuple(asdict(r).values()) for r in relations], RELATION_SCHEMA)
 
 
 @dataclass
@@ -214,7 +223,7 @@ class DeletionConfig(_Config):
             (r.group_code, r.target_table, r.execution_order, r.path.to_json())
             for r in self.rules
         ]
-        return spark.createDataFrame(rows, DELETION_RULE_SCHEMA)
+        return small_frame(spark, rows, DELETION_RULE_SCHEMA)
 
     @staticmethod
     def from_frames(groups: DataFrame, rules: DataFrame) -> DeletionConfig:
@@ -257,7 +266,7 @@ class MaskingConfig(_Config):
             )
             for number, r in enumerate(self.rules, start=1)
         ]
-        return spark.createDataFrame(rows, MASKING_RULE_SCHEMA)
+        return small_frame(spark, rows, MASKING_RULE_SCHEMA)
 
     @staticmethod
     def from_frames(groups: DataFrame, rules: DataFrame) -> MaskingConfig:

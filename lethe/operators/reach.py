@@ -113,6 +113,13 @@ class Reacher:
     as_of: str | None = None
     _known: dict = field(default_factory=dict)
 
+    @classmethod
+    def over(cls, keys: Measured, tables: dict[str, DataFrame], as_of: str | None = None):
+        """For keys whose size is known already."""
+        reacher = cls(keys.frame, tables, as_of)
+        reacher.sized_keys = keys
+        return reacher
+
     @cached_property
     def sized_keys(self) -> Measured:
         return sized(self.keys)

@@ -18,6 +18,7 @@ VALIDATED = "VALIDATED"
 COMPLETED = "COMPLETED"
 PARTIAL_COMPLETED = "PARTIAL_COMPLETED"
 FAILED = "FAILED"
+RUNNABLE = (VALIDATED, PARTIAL_COMPLETED)  # what a run picks up
 STATUSES = (PENDING, NOT_FOUND, VALIDATED, COMPLETED, PARTIAL_COMPLETED, FAILED)
 
 TASK_KEY = ["batch_id", "group_code", "key_no"]
@@ -141,9 +142,7 @@ def group_scope(tasks: DataFrame, groups: DataFrame, status: str | None = None)
 
 def is_runnable(group_code: str, done_order: int | None = None) -> Column:
     """Tasks a run picks up: validated ones and those a partial run left open."""
-    test = (F.col("group_code") == group_code) & F.col("status").isin(
-        VALIDATED, PARTIAL_COMPLETED
-    )
+    test = (F.col("group_code") == group_code) & F.col("status").isin(*RUNNABLE)
     return test if done_order is None else test & (F.col("done_order") == done_order)
 
 

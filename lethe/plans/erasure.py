@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lethe.config import DeletionConfig, DeletionRule, KeyPath
+from lethe.config import DeletionConfig, DeletionRule, KeyPath, small_frame
 from lethe.operators.configtables import replace_scope
 from lethe.operators.numbering import assign_chunks
 from lethe.operators.parallel import in_parallel
@@ -20,8 +20,9 @@ from lethe.operators.purge import (
     union_all,
 )
 from lethe.operators.reach import Reacher, eligible, match_column
-from lethe.operators.sizing import durable, keyed_join
+from lethe.operators.sizing import Measured, durable, keyed_join, sized_groups
 from lethe.operators.tasks import (
+    RUNNABLE,
     TASK_SCHEMA,
     VALIDATED,
     complete_tasks,
@@ -31,7 +32,7 @@ from lethe.operators.tasks import (
     validate_root,
 )
 from lethe.sources.keyfile import DELETION_FALLBACK, ITEM_SCHEMA, keys_of, new_items
-from lethe.sources.snapshots import SnapshotStore
+from lethe.sources.snapshots import SnapshotStore, Transaction
 
 ITEMS, TASKS, SUMMARY, AUDIT = (
     "deletion_items", "deletion_tasks", "deletion_summary", "deletion_audit",
@@ -49,7 +50,7 @@ AUDIT_SCHEMA = (
 def read_or_empty(store: SnapshotStore, name: str, schema: str) -> DataFrame:
     if store.exists(name):
         return store.read(name)
-    return store.spark.createDataFrame([], schema)
+    return small_frame(store.spark, [], schema)
 
 
 def conform(frame: DataFrame, schema: str) -> DataFrame:
@@ -96,8 +97,7 @@ def replace_batch(change, name: str, frame: DataFrame, batch_id: str) -> None:
     if name not in change.tables:
         change.append(name, frame, ("batch_id",))
         return
-    one = change.store.spark.createDataFrame([(batch_id,)], "batch_id string")
-    change.rewrite_touched(name, frame, one)
+    change.rewrite_touched(name, frame, [(batch_id,)])
 
 
 def run_deletion_dry_run(
@@ -124,13 +124,10 @@ def run_deletion_dry_run(
         validate_root(tasks, config, tables, scope, as_of, revalidate)
     )
 
-    valid = tasks.where(F.col("status") == VALIDATED)
+    sized = dry_run_keys(tasks, scope)
 
     def estimate(code: str) -> DataFrame:
-        keys = valid.where(F.col("group_code") == code).select(
-            "key_no", F.lit(1).alias("chunk_no")
-        )
-        return estimate_delete(config.rules_of(code), Reacher(keys, tables, as_of))
+        return estimate_delete(config.rules_of(code), Reacher.over(sized[code], tables, as_of))
 
     parts = union_all(in_parallel(partial(estimate, code) for code in scope))
     estimates = conform(
@@ -147,18 +144,40 @@ def run_deletion_dry_run(
     return len(scope)
 
 
+def dry_run_keys(tasks: DataFrame, scope: list[str]) -> dict[str, Measured]:
+    """Validated keys of each group, all in one chunk."""
+    keys = tasks.where(F.col("status") == VALIDATED).select(
+        "group_code", "key_no", F.lit(1).alias("chunk_no")
+    )
+    return sized_groups(keys, "group_code", scope)
+
+
+def chunked_keys(tasks: DataFrame, config, scope: list[str]) -> dict[str, Measured]:
+    """Runnable keys of each group with their chunk, numbered for all groups at once."""
+    runnable = tasks.where(
+        F.col("status").isin(*RUNNABLE) & F.col("group_code").isin(*scope)
+    )
+    chunked = assign_chunks(runnable, config.groups_frame(tasks.sparkSession))
+    return sized_groups(
+        durable(chunked.select("group_code", "key_no", "chunk_no")), "group_code", scope
+    )
+
+
 def touched_partitions(
     paths: list[KeyPath], name: str, reacher: Reacher, partition_by: list[str]
-) -> DataFrame:
-    """Partitions of a table in which the paths reach rows."""
-    parts = None
+) -> list[tuple]:
+    """Partitions of a table in which the paths reach rows.
+
+    At most as many as the table has partition directories, which the pointer
+    lists anyway.
+    """
+    parts = []
     for path in paths:
         target = eligible(reacher.tables[name], path, reacher.as_of)
         narrow = target.select(*partition_by, match_column(path).alias("_key"))
         hits = keyed_join(narrow, F.col("_key"), reacher.values(path), "left_semi")
-        part = hits.select(*partition_by).distinct()
-        parts = part if parts is None else parts.unionByName(part)
-    return parts.distinct()
+        parts.append(hits.select(*partition_by).distinct())
+    return [tuple(row) for row in union_all(parts).distinct().collect()]
 
 
 def run_deletion(
@@ -171,31 +190,33 @@ def run_deletion(
     A group's tables, tasks and audit rows change in one commit, so after an
     interruption the same call continues with the groups still open.
     """
+    scope = [g.group_code for g in config.active_groups(group_code=group_code)]
+    all_tasks = batch_rows(read_or_empty(store, TASKS, TASK_SCHEMA), batch_id)
+    if not scope or all_tasks.isEmpty():
+        return 0
     done = 0
-    for group in config.active_groups(group_code=group_code):
-        code = group.group_code
-        all_tasks = batch_rows(read_or_empty(store, TASKS, TASK_SCHEMA), batch_id)
-        runnable = all_tasks.where(is_runnable(code))
-        if runnable.isEmpty():
+    for code, keys in chunked_keys(all_tasks, config, scope).items():
+        if keys.rows == 0:
             continue
         last = config.root_rule(code).execution_order
         up_to = last if up_to_order is None else min(up_to_order, last)
         rules = config.rules_of(code, up_to)
         with store.begin() as change:
             if rules:
-                _purge_group(store, change, config, batch_id, runnable, rules, as_of)
+                reacher = Reacher.over(keys, target_tables(store, rules), as_of)
+                _purge_group(change, batch_id, reacher, rules)
+            all_tasks = batch_rows(store.read(TASKS), batch_id)
             tasks = complete_tasks(all_tasks, is_runnable(code), now(), up_to, last)
             replace_batch(change, TASKS, conform(tasks, TASK_SCHEMA), batch_id)
         done += 1
     return done
 
 
-def _purge_group(store, change, config, batch_id, runnable, rules, as_of) -> None:
+def _purge_group(
+    change: Transaction, batch_id: str, reacher: Reacher, rules: list[DeletionRule]
+) -> None:
     started = now()
-    chunked = assign_chunks(runnable, config.groups_frame(store.spark))
-    keys = durable(chunked.select("key_no", "chunk_no"))
-    reacher = Reacher(keys, target_tables(store, rules), as_of)
-    audit = durable(purge_audit(rules, reacher))
+    reacher.prepare([r.path for r in rules])
 
     def rewrite(name: str, members: list[DeletionRule]) -> None:
         kept = survivors(members, reacher)
@@ -208,7 +229,7 @@ def _purge_group(store, change, config, batch_id, runnable, rules, as_of) -> Non
             change.overwrite(name, kept)
 
     in_parallel(partial(rewrite, n, members) for n, members in by_table(rules).items())
-    entries = audit.withColumns(
+    entries = purge_audit(rules, reacher).withColumns(
         {"batch_id": F.lit(batch_id), "started_at": started, "executed_at": now()}
     )
     change.append(AUDIT, conform(entries, AUDIT_SCHEMA), ("batch_id",))

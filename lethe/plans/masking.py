@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lethe.config import MaskingConfig
+from lethe.config import MaskingConfig, MaskingRule
 from lethe.operators.configtables import replace_scope
 from lethe.operators.masking import (
     PREVIEW_SCHEMA,
@@ -18,14 +18,12 @@ from lethe.operators.masking import (
     mask_preview,
     mask_steps,
 )
-from lethe.operators.numbering import assign_chunks
 from lethe.operators.parallel import in_parallel
 from lethe.operators.purge import union_all
 from lethe.operators.reach import Reacher
 from lethe.operators.sizing import durable
 from lethe.operators.tasks import (
     TASK_SCHEMA,
-    VALIDATED,
     complete_tasks,
     expand_tasks,
     group_scope,
@@ -35,7 +33,7 @@ from lethe.operators.tasks import (
 from lethe.plans import erasure
 from lethe.plans.erasure import batch_rows, conform, now, read_or_empty, replace_batch
 from lethe.sources.keyfile import ITEM_SCHEMA, MASKING_FALLBACK
-from lethe.sources.snapshots import SnapshotStore
+from lethe.sources.snapshots import SnapshotStore, Transaction
 
 ITEMS, TASKS, SUMMARY, AUDIT = (
     "masking_items", "masking_tasks", "masking_summary", "masking_audit",
@@ -85,21 +83,18 @@ def run_masking_dry_run(
     tables = erasure.target_tables(store, [r for c in scope for r in config.rules_of(c)])
     tasks = durable(validate_first(tasks, config, tables, scope, as_of))
 
-    valid = tasks.where(F.col("status") == VALIDATED)
-    with_keys = [r.group_code for r in group_scope(valid, groups).collect()]
+    sized = erasure.dry_run_keys(tasks, scope)
 
     def summarise(code: str) -> DataFrame:
-        keys = valid.where(F.col("group_code") == code).select(
-            "key_no", F.lit(1).alias("chunk_no")
-        )
         rules = config.rules_of(code)
-        reacher = Reacher(keys, tables, as_of)
+        reacher = Reacher.over(sized[code], tables, as_of)
         previews = mask_preview(rules, reacher, parameters)  # one row per rule
         return estimate_mask(rules, reacher).join(
             F.broadcast(previews), ["group_code", "target_table", "column_name"]
         )
 
-    parts = in_parallel(partial(summarise, code) for code in scope if code in with_keys)
+    parts = in_parallel(partial(summarise, code) for code in scope if sized[code].rows)
+
     old = batch_rows(read_or_empty(store, SUMMARY, SUMMARY_SCHEMA), batch_id)
     if group_code is not None:
         old = old.where(F.col("group_code") != group_code)
@@ -140,9 +135,9 @@ def run_masking(
             rules = [r for r in config.rules_of(code, up_to) if r.execution_order > reached]
             with store.begin() as change:
                 if rules:
-                    _mask_group(
-                        store, change, config, batch_id, runnable, rules, as_of, parameters
-                    )
+                    keys = erasure.chunked_keys(runnable, config, [code])[code]
+                    reacher = Reacher.over(keys, erasure.target_tables(store, rules), as_of)
+                    _mask_group(change, batch_id, reacher, rules, parameters)
                 tasks = complete_tasks(all_tasks, which, now(), up_to, orders[-1])
                 replace_batch(change, TASKS, conform(tasks, TASK_SCHEMA), batch_id)
             ran = True
@@ -150,14 +145,14 @@ def run_masking(
     return done
 
 
-def _mask_group(store, change, config, batch_id, runnable, rules, as_of, parameters) -> None:
+def _mask_group(
+    change: Transaction, batch_id: str, reacher: Reacher, rules: list[MaskingRule],
+    parameters: dict[str, str] | None,
+) -> None:
     steps = mask_steps(rules)
-    chunked = assign_chunks(runnable, config.groups_frame(store.spark))
-    keys = durable(chunked.select("key_no", "chunk_no"))
-    reacher = Reacher(keys, erasure.target_tables(store, rules), as_of)
-    chunks = keys.select("chunk_no").distinct().count()
+    reacher.prepare([s.path for s in steps])  # all hits before any table changes
+    chunks = reacher.keys.agg(F.max("chunk_no")).first()[0]
     durations = {}
-    reacher.prepare([s.path for s in steps])
 
     def rewrite(name: str) -> None:
         began = time.monotonic()

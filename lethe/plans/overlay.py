@@ -17,6 +17,7 @@ from lethe.config import (
     MaskingConfig,
     MaskingRule,
     Relation,
+    small_frame,
 )
 from lethe.operators.numbering import assign_chunks
 from lethe.operators.parallel import in_parallel
@@ -28,7 +29,7 @@ from lethe.operators.purge import (
     union_all,
 )
 from lethe.operators.reach import Reacher
-from lethe.operators.sizing import durable
+from lethe.operators.sizing import Measured, durable, sized_groups
 from lethe.operators.tasks import (
     COMPLETED,
     FAILED,
@@ -231,7 +232,7 @@ class Overlay:
         urgent = t["orders"].where("o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'")
         region = t["nation"].where("n_regionkey = 3")
         segment = t["customer"].where("c_mktsegment = 'BUILDING'")
-        stray = self.spark.createDataFrame(STRAY_KEYS, "key_type string, key_no string")
+        stray = small_frame(self.spark, list(STRAY_KEYS), "key_type string, key_no string")
         parts = [
             ("CUSTOMER_ID", in_debt),
             ("CUSTOMER_ID", padded),
@@ -280,9 +281,18 @@ class Overlay:
         valid = self.tasks.where(F.col("status") == VALIDATED)
         return durable(assign_chunks(valid, self.groups))
 
+    @cached_property
+    def chunked_keys(self) -> dict[str, Measured]:
+        codes = list(self.group_codes or [g.group_code for g in DELETION.active_groups()])
+        keys = self.chunked.select("group_code", "key_no", "chunk_no")
+        return sized_groups(keys, "group_code", codes)
+
+    @cached_property
+    def reachers(self) -> dict[str, Reacher]:
+        return {c: Reacher.over(k, self.tables, AS_OF) for c, k in self.chunked_keys.items()}
+
     def reacher(self, group_code: str) -> Reacher:
-        keys = self.chunked.where(F.col("group_code") == group_code)
-        return Reacher(keys.select("key_no", "chunk_no"), self.tables, AS_OF)
+        return self.reachers[group_code]
 
     def all_keys_reacher(self, group_code: str) -> Reacher:
         """All keys of a group's key type in one chunk, as a dry run uses them."""
@@ -296,7 +306,7 @@ class Overlay:
 
     @cached_property
     def summary(self) -> DataFrame:
-        self.chunked  # computed once, before the groups ask for it
+        self.reachers  # computed once, before the groups ask for it
         parts = in_parallel(
             partial(lambda code: estimate_delete(DELETION.rules_of(code), self.reacher(code)), c)
             for c in sorted(self.group_codes)
@@ -320,7 +330,7 @@ class Overlay:
         )
 
     def audit_of(self, codes: tuple[str, ...]) -> DataFrame:
-        self.chunked  # computed once, before the groups ask for it
+        self.reachers  # computed once, before the groups ask for it
         return union_all(
             in_parallel(
                 partial(lambda code: purge_audit(DELETION.rules_of(code), self.reacher(code)), c)
@@ -374,6 +384,14 @@ class Overlay:
         valid = self.mask_tasks.where(F.col("status") == VALIDATED)
         return durable(assign_chunks(valid, self.mask_groups))
 
+    @cached_property
+    def mask_keys(self) -> dict[str, Measured]:
+        keys = self.mask_chunked.select("group_code", "key_no", "chunk_no")
+        return sized_groups(keys, "group_code", [g.group_code for g in MASKING.groups])
+
+    @cached_property
+    def mask_reachers(self) -> dict[str, Reacher]:
+        return {c: Reacher.over(k, self.pii_tables) for c, k in self.mask_keys.items()}
+
     def mask_reacher(self, group_code: str) -> Reacher:
-        keys = self.mask_chunked.where(F.col("group_code") == group_code)
-        return Reacher(keys.select("key_no", "chunk_no"), self.pii_tables)
+        return self.mask_reachers[group_code]
