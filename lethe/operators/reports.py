@@ -188,26 +188,22 @@ def residual(
     """Per group: completed keys that still reach a row of the group's root table."""
     completed = tasks.where(F.col("status") == COMPLETED)
     sized = sized_groups(completed.select("group_code", "key_no"), "group_code", list(roots))
-    parts = []
-    for code, (table, path) in sorted(roots.items()):
-        keys = completed.where(F.col("group_code") == code)
-        leaked = found_keys(path, tables[table], sized[code], tables, as_of).agg(
-            F.count(F.lit(1)).alias("leaked_residual_keys")
-        )
-        checked = keys.groupBy("batch_id", "group_code").agg(
-            F.count(F.lit(1)).alias("completed_keys_checked")
-        )
-        # one row against one row per batch
-        parts.append(
-            checked.join(leaked, F.lit(True)).select(
-                "batch_id", "group_code", F.lit(table).alias("target_table"),
-                "completed_keys_checked", "leaked_residual_keys",
-                F.when(F.col("leaked_residual_keys") == 0, F.lit("CLEAN (0 RESIDUAL)"))
-                .otherwise(F.lit("FAIL: RESIDUAL DATA DETECTED"))
-                .alias("sanity_status"),
-            )
-        )
-    return union_all(parts)
+    leaks = [
+        found_keys(path, tables[table], sized[code], tables, as_of)
+        .agg(F.count(F.lit(1)).alias("leaked_residual_keys"))
+        .select(F.lit(code).alias("group_code"), F.lit(table).alias("target_table"), "*")
+        for code, (table, path) in sorted(roots.items())
+    ]
+    checked = completed.groupBy("batch_id", "group_code").agg(
+        F.count(F.lit(1)).alias("completed_keys_checked")
+    )
+    return checked.join(union_all(leaks), "group_code").select(
+        "batch_id", "group_code", "target_table", "completed_keys_checked",
+        "leaked_residual_keys",
+        F.when(F.col("leaked_residual_keys") == 0, F.lit("CLEAN (0 RESIDUAL)"))
+        .otherwise(F.lit("FAIL: RESIDUAL DATA DETECTED"))
+        .alias("sanity_status"),
+    )
 
 
 def throughput(audit: DataFrame) -> DataFrame:
@@ -362,12 +358,25 @@ def untouched(before: DataFrame, after: DataFrame) -> DataFrame:
 
 def row_counts(before: DataFrame, after: DataFrame, removed: DataFrame) -> DataFrame:
     """(rows_before, rows_removed, rows_after, balanced); ``removed`` has row_count."""
-    one = F.lit(True)
-    return (
-        before.agg(F.count(F.lit(1)).alias("rows_before"))
-        .join(removed.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("rows_removed")), one)
-        .join(after.agg(F.count(F.lit(1)).alias("rows_after")), one)
-        .withColumn(
-            "balanced", F.col("rows_before") - F.col("rows_removed") == F.col("rows_after")
-        )
+    names = ("rows_before", "rows_removed", "rows_after")
+    counts = (
+        before.agg(F.count(F.lit(1)).alias("n")),
+        removed.agg(F.sum("row_count").alias("n")),
+        after.agg(F.count(F.lit(1)).alias("n")),
+    )
+    return side_by_side(dict(zip(names, counts, strict=True))).withColumn(
+        "balanced", F.col("rows_before") - F.col("rows_removed") == F.col("rows_after")
+    )
+
+
+def side_by_side(numbers: dict[str, DataFrame]) -> DataFrame:
+    """One row with a column per single-number frame."""
+    tagged = union_all(
+        [f.toDF("n").withColumn("name", F.lit(name)) for name, f in numbers.items()]
+    )
+    return tagged.agg(
+        *[
+            F.coalesce(F.sum(F.when(F.col("name") == name, F.col("n"))), F.lit(0)).alias(name)
+            for name in numbers
+        ]
     )

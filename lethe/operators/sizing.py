@@ -51,9 +51,20 @@ class Measured:
         limits = limits or Limits.of(self.frame.sparkSession)
         return self.rows <= limits.rows and self.bytes <= limits.bytes
 
-    def hinted(self) -> DataFrame:
-        """The frame, marked for broadcast only if its measured size allows it."""
-        return F.broadcast(self.frame) if self.broadcastable() else self.frame
+    def build_side(self, frame: DataFrame | None = None) -> DataFrame:
+        """The frame (or one derived from it) as build side of a shuffled join.
+
+        Values are unique, so they spread evenly and a partition's share is
+        known: if it is small, hashing it spares sorting the target rows.
+        """
+        frame = self.frame if frame is None else frame
+        share = self.bytes / shuffle_partitions(self.frame.sparkSession)
+        small = share <= Limits.of(self.frame.sparkSession).bytes
+        return frame.hint("shuffle_hash") if small else frame
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _size_columns(frame: DataFrame) -> list[Column]:
@@ -109,8 +120,7 @@ def hot_values(rows: DataFrame, match: Column) -> list:
             "approx_top_k", match, F.lit(limits.hot_values), F.lit(limits.hot_tracked)
         ).alias("top"),
     ).first()
-    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    share = found["n"] / max(partitions, 1) / 2
+    share = found["n"] / shuffle_partitions(rows.sparkSession) / 2
     return [t["item"] for t in found["top"] if t["item"] is not None and t["count"] > share]
 
 
@@ -137,18 +147,16 @@ def keyed_join(rows: DataFrame, match: Column, values: Measured, how: str) -> Da
         return joined.drop(_MATCH, VALUE)
 
     hot = hot_values(left, F.col(_MATCH))
-    fan = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fan = shuffle_partitions(rows.sparkSession)
     spread = F.pmod(_row_position(left), F.lit(fan)).cast("int")
-    is_hot = F.col(_MATCH).isin(hot) if hot else F.lit(False)
-    left = left.withColumn(
-        _SPREAD, F.when(F.col(_MATCH).isNull() | is_hot, spread).otherwise(F.lit(0))
-    )
-    copies = F.array(F.lit(0))
+    copy = F.lit(0)
+    to_spread = F.col(_MATCH).isNull()
     if hot:
-        copies = F.when(F.col(VALUE).isin(hot), F.sequence(F.lit(0), F.lit(fan - 1))).otherwise(
-            copies
-        )
-    right = values.frame.withColumn("_copy", F.explode(copies))
+        to_spread = to_spread | F.col(_MATCH).isin(hot)
+        every = F.sequence(F.lit(0), F.lit(fan - 1))
+        copy = F.explode(F.when(F.col(VALUE).isin(hot), every).otherwise(F.array(F.lit(0))))
+    left = left.withColumn(_SPREAD, F.when(to_spread, spread).otherwise(F.lit(0)))
+    right = values.build_side(values.frame.withColumn("_copy", copy))
     joined = left.join(
         right, (F.col(_MATCH) == F.col(VALUE)) & (F.col(_SPREAD) == F.col("_copy")), how
     )
@@ -168,7 +176,7 @@ def matched_counts(
         joined = narrow.join(F.broadcast(values.frame), F.col(_MATCH) == F.col(VALUE))
         return joined.groupBy(*by).agg(F.count(F.lit(1)).alias("row_count"))
     counted = narrow.groupBy(_MATCH).agg(F.count(F.lit(1)).alias("_n"))
-    joined = counted.join(values.frame, F.col(_MATCH) == F.col(VALUE))
+    joined = counted.join(values.build_side(), F.col(_MATCH) == F.col(VALUE))
     return joined.groupBy(*by).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count"))
 
 
@@ -178,4 +186,5 @@ def present_values(rows: DataFrame, match: Column, values: Measured) -> DataFram
     if values.broadcastable():
         wanted = F.broadcast(values.frame.select(VALUE))
         return narrow.join(wanted, VALUE, "left_semi").distinct()
-    return narrow.distinct().join(values.frame.select(VALUE), VALUE, "left_semi")
+    wanted = values.build_side(values.frame.select(VALUE))
+    return narrow.distinct().join(wanted, VALUE, "left_semi")

@@ -775,10 +775,10 @@ def verify_untouched(o):
         values = o.mask_reacher("CUST_PII").values(KeyPath(key, "bigint"))
         outside = keyed_join(o.pii_tables[table], F.col(key), values, "left_anti")
         lost = reports.untouched(outside, _masked(o, "CUST_PII", table))
+        numbers = {"rows_checked": outside, "rows_changed": lost}
+        counted = {n: f.agg(F.count(F.lit(1)).alias("n")) for n, f in numbers.items()}
         parts.append(
-            outside.agg(F.count(F.lit(1)).alias("rows_checked")).join(
-                lost.agg(F.count(F.lit(1)).alias("rows_changed")), F.lit(True)
-            ).select(F.lit(table).alias("table_name"), "rows_checked", "rows_changed")
+            reports.side_by_side(counted).select(F.lit(table).alias("table_name"), "*")
         )
     return union_all(parts)
 

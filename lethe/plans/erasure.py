@@ -224,7 +224,8 @@ def _purge_group(
         if partition_by:
             paths = [r.path for r in members]
             touched = touched_partitions(paths, name, reacher, partition_by)
-            change.rewrite_touched(name, kept, touched)
+            shuffled = not all(reacher.values(p).broadcastable() for p in paths)
+            change.rewrite_touched(name, kept, touched, shuffled)
         else:
             change.overwrite(name, kept)
 

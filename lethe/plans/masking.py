@@ -160,8 +160,10 @@ def _mask_group(
         masked = mask_apply(reacher.tables[name], own, reacher, parameters)
         partition_by = change.tables[name].partition_by
         if partition_by and not {r.column_name for s in own for r in s.rules} & set(partition_by):
-            touched = erasure.touched_partitions([s.path for s in own], name, reacher, partition_by)
-            change.rewrite_touched(name, masked, touched)
+            paths = [s.path for s in own]
+            touched = erasure.touched_partitions(paths, name, reacher, partition_by)
+            shuffled = not all(reacher.values(p).broadcastable() for p in paths)
+            change.rewrite_touched(name, masked, touched, shuffled)
         else:
             change.overwrite(name, masked, tuple(partition_by))
         # each table is timed on its own; its chunks are masked in one go

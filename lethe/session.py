@@ -23,6 +23,8 @@ def build_session(app: str = "lethe", master: str | None = None, **conf: str) ->
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # a skewed partition is worth one more exchange
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        # checkpointed keys do not outlive the frames that use them
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     for name, value in settings.items():
