@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lethe.config import DeletionConfig, DeletionRule, KeyPath, small_frame
+from lethe.functions import masks
+from lethe.operators import reports
 from lethe.operators.configtables import replace_scope
 from lethe.operators.numbering import assign_chunks
 from lethe.operators.parallel import in_parallel
@@ -202,6 +204,7 @@ def run_deletion(
         up_to = last if up_to_order is None else min(up_to_order, last)
         rules = config.rules_of(code, up_to)
         with store.begin() as change:
+            change.note = {"purged_batch": batch_id, "group_code": code}
             if rules:
                 reacher = Reacher.over(keys, target_tables(store, rules), as_of)
                 _purge_group(change, batch_id, reacher, rules)
@@ -234,3 +237,33 @@ def _purge_group(
         {"batch_id": F.lit(batch_id), "started_at": started, "executed_at": now()}
     )
     change.append(AUDIT, conform(entries, AUDIT_SCHEMA), ("batch_id",))
+
+
+def certificate(store: SnapshotStore, batch_id: str) -> DataFrame:
+    """Certificate of destruction, with whether the purged rows are gone for good.
+
+    A version from before the purge still holds them, so ``older_copies_removed``
+    turns true once the store has been expired past it.
+    """
+    audit = batch_rows(store.read(AUDIT), batch_id)
+    tasks = batch_rows(store.read(TASKS), batch_id)
+    commits = store.commits()
+    purges = [n for n, note in commits if note.get("purged_batch") == batch_id]
+    # an expired purge commit was itself followed by the ones that are left
+    removed = not purges or commits[0][0] >= purges[-1]
+    return reports.certificate(audit, tasks).withColumn("older_copies_removed", F.lit(removed))
+
+
+def pseudonymise_batch(
+    store: SnapshotStore, batch_id: str, salt: str, items: str = ITEMS, tasks: str = TASKS
+) -> None:
+    """Replace a certified batch's keys by salted hashes.
+
+    The lists of what was erased would otherwise keep the subjects' identifiers.
+    Counts and reports of the batch stay as they are.
+    """
+    hidden = masks.mask_salted_hash("key_no", salt)
+    with store.begin() as change:
+        for name in (items, tasks):
+            rows = batch_rows(store.read(name), batch_id)
+            replace_batch(change, name, rows.withColumn("key_no", hidden), batch_id)

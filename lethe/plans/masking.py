@@ -134,6 +134,7 @@ def run_masking(
                 continue
             rules = [r for r in config.rules_of(code, up_to) if r.execution_order > reached]
             with store.begin() as change:
+                change.note = {"masked_batch": batch_id, "group_code": code}
                 if rules:
                     keys = erasure.chunked_keys(runnable, config, [code])[code]
                     reacher = Reacher.over(keys, erasure.target_tables(store, rules), as_of)
@@ -180,3 +181,18 @@ def _mask_group(
         }
     )
     change.append(AUDIT, conform(entries, AUDIT_SCHEMA), ("batch_id",))
+
+
+def drop_previews(store: SnapshotStore, before) -> None:
+    """Empty the before/after samples of summaries made before a point in time.
+
+    Samples show personal data, so they are kept for the sign-off only.
+    """
+    summary = store.read(SUMMARY)
+    old = F.col("created_at") < F.lit(before).cast("timestamp")
+    # as many batches as have samples to drop
+    batches = [r.batch_id for r in summary.where(old).select("batch_id").distinct().collect()]
+    empty = F.when(old, F.array().cast(PREVIEW_SCHEMA)).otherwise(F.col("sample_preview"))
+    with store.begin() as change:
+        kept = summary.withColumn("sample_preview", empty)
+        change.rewrite_touched(SUMMARY, kept, [(b,) for b in batches])

@@ -368,6 +368,38 @@ def test_partitioned_target_keeps_untouched_partitions(spark, store):
     assert store.read("orders").count() == 98
 
 
+def test_certificate_states_whether_old_copies_are_gone(spark, store):
+    seed_orders(spark, store, 50)
+    erasure.ingest(store, pipeline_keys(spark, 5), BATCH)
+    erasure.run_deletion_dry_run(store, ORDER_CONFIG, BATCH)
+    erasure.run_deletion(store, ORDER_CONFIG, BATCH)
+    rows = erasure.certificate(store, BATCH).collect()
+    assert [r["total_purged_rows"] for r in rows] == [30, 15, 5]
+    assert {(r["completed_keys_count"], r["missing_keys_count"]) for r in rows} == {(5, 2)}
+    assert not any(r["older_copies_removed"] for r in rows)
+    assert store.read("orders", 1).count() == 50  # still there
+    assert store.expire(keep_last=1, grace_sec=3600)["removed"] == []
+    store.expire(keep_last=1)
+    assert all(r["older_copies_removed"] for r in erasure.certificate(store, BATCH).collect())
+    assert store.read("orders").count() == 45
+
+    erasure.pseudonymise_batch(store, BATCH, "s")
+    names = [r["key_no"] for r in store.read(erasure.TASKS).collect()]
+    assert len(names) == 7 and all(n.startswith("MSK_") for n in names)
+    assert status_counts(store)[("ORDERS", "COMPLETED")] == 5
+
+
+def test_previews_are_dropped(spark, store):
+    seed_customers(spark, store)
+    mask_plan.ingest(store, mask_keys(spark), BATCH)
+    mask_plan.run_masking_dry_run(store, MASKS, BATCH)
+    mask_plan.drop_previews(store, "2000-01-01")
+    assert {len(r["sample_preview"]) for r in store.read(mask_plan.SUMMARY).collect()} == {5}
+    mask_plan.drop_previews(store, "2999-01-01")
+    summary = store.read(mask_plan.SUMMARY).collect()
+    assert len(summary) == 5 and {len(r["sample_preview"]) for r in summary} == {0}
+
+
 def test_failed_transaction_leaves_no_trace(spark, store):
     seed_orders(spark, store, 10)
     version, tables = store.version, store.tables()
