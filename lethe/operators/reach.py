@@ -21,6 +21,7 @@ from lethe.operators.sizing import (
     measured,
     present_values,
     sized,
+    value_range,
 )
 
 _UUID = "^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
@@ -83,8 +84,10 @@ def reach_levels(
     """Values reached at each level: first the typed keys, last the target's."""
     columns = [typed_key(path).alias(VALUE)] + ([carry] if carry else [])
     # at most one value per key and none longer than its key: the keys' size is a bound
-    typed = _condensed(keys.frame.select(*columns), carry)
-    levels = [Measured(typed, keys.rows, keys.bytes)]
+    raw = keys.frame.select(*columns)
+    bounds = value_range(raw)
+    low, high = raw.agg(*bounds).first() if bounds else (None, None)
+    levels = [Measured(_condensed(raw, carry), keys.rows, keys.bytes, low, high)]
     for depth in range(len(path.hops) - 1, -1, -1):
         links = _parent_links(path, depth, tables)
         how = "inner" if carry else "left_semi"

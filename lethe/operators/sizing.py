@@ -14,6 +14,7 @@ from itertools import count
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, StringType
 
 VALUE = "_value"  # column name of the reached join value
 _MATCH = "_match"
@@ -46,6 +47,14 @@ class Measured:
     frame: DataFrame
     rows: int
     bytes: int
+    low: int | str | None = None  # smallest and largest value, where known
+    high: int | str | None = None
+
+    def in_range(self, match: Column) -> Column:
+        """Can a row match at all?  Lets the scan skip files and row groups."""
+        if self.low is None or self.high is None:
+            return match.isNotNull()
+        return match.between(self.low, self.high)
 
     def broadcastable(self, limits: Limits | None = None) -> bool:
         limits = limits or Limits.of(self.frame.sparkSession)
@@ -78,11 +87,22 @@ def _size_columns(frame: DataFrame) -> list[Column]:
     return [F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")]
 
 
+def value_range(frame: DataFrame) -> list[Column]:
+    """Bounds of the value column, if its type has plain literals."""
+    kind = frame.schema[VALUE].dataType if VALUE in frame.columns else None
+    if not isinstance(kind, (IntegralType, StringType)):
+        return []
+    return [F.min(VALUE).alias("low"), F.max(VALUE).alias("high")]
+
+
 def measured(frame: DataFrame) -> Measured:
     """Write ``frame`` to the checkpoint folder, counting it on the way."""
     seen = Observation(f"lethe-{next(_numbers)}")
-    written = frame.observe(seen, *_size_columns(frame)).checkpoint()
-    return Measured(written, seen.get["rows"] or 0, seen.get["bytes"] or 0)
+    written = frame.observe(seen, *_size_columns(frame), *value_range(frame)).checkpoint()
+    found = seen.get
+    return Measured(
+        written, found["rows"] or 0, found["bytes"] or 0, found.get("low"), found.get("high")
+    )
 
 
 def sized(frame: DataFrame) -> Measured:
@@ -114,6 +134,9 @@ def hot_values(rows: DataFrame, match: Column) -> list:
     only steers the distribution of rows and never changes a result.
     """
     limits = Limits.of(rows.sparkSession)
+    kind = rows.select(match.alias("m")).schema["m"].dataType
+    if not isinstance(kind, (IntegralType, StringType)):
+        return []  # keys are text or whole numbers; anything else is left to AQE
     found = rows.agg(
         F.count(F.lit(1)).alias("n"),
         F.call_function(
@@ -142,6 +165,8 @@ def keyed_join(rows: DataFrame, match: Column, values: Measured, how: str) -> Da
     dropped; what else ``values`` carries is kept for ``inner`` and ``left``.
     """
     left = rows.withColumn(_MATCH, match)
+    if how in ("inner", "left_semi"):
+        left = left.where(values.in_range(F.col(_MATCH)))
     if values.broadcastable():
         joined = left.join(F.broadcast(values.frame), F.col(_MATCH) == F.col(VALUE), how)
         return joined.drop(_MATCH, VALUE)
@@ -171,7 +196,7 @@ def matched_counts(
     Only the join column is read.  In a shuffled join, rows are first counted
     per join value on the map side, so a hot value travels as a few counts.
     """
-    narrow = rows.select(match.alias(_MATCH)).where(F.col(_MATCH).isNotNull())
+    narrow = rows.select(match.alias(_MATCH)).where(values.in_range(F.col(_MATCH)))
     if values.broadcastable():
         joined = narrow.join(F.broadcast(values.frame), F.col(_MATCH) == F.col(VALUE))
         return joined.groupBy(*by).agg(F.count(F.lit(1)).alias("row_count"))
@@ -182,7 +207,7 @@ def matched_counts(
 
 def present_values(rows: DataFrame, match: Column, values: Measured) -> DataFrame:
     """The reached values that occur in ``rows``, each once."""
-    narrow = rows.select(match.alias(VALUE)).where(F.col(VALUE).isNotNull())
+    narrow = rows.select(match.alias(VALUE)).where(values.in_range(F.col(VALUE)))
     if values.broadcastable():
         wanted = F.broadcast(values.frame.select(VALUE))
         return narrow.join(wanted, VALUE, "left_semi").distinct()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +21,9 @@ def mask_rows(
     batch: DataFrame, match: Column, erased: Measured, masks: dict[str, Column]
 ) -> DataFrame:
     """All rows; those of erased subjects with ``masks`` applied."""
-    flagged = Measured(
-        erased.frame.withColumn("_erased", F.lit(True)), erased.rows, erased.bytes + erased.rows
+    flagged = replace(
+        erased, frame=erased.frame.withColumn("_erased", F.lit(True)),
+        bytes=erased.bytes + erased.rows,
     )
     joined = keyed_join(batch, match, flagged, "left")
     masked = {

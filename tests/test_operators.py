@@ -19,7 +19,7 @@ from lethe.config import (
 from lethe.operators import checks, configtables
 from lethe.operators.numbering import number_rows
 from lethe.operators.purge import purge_audit, survivors
-from lethe.operators.reach import Reacher, found_keys
+from lethe.operators.reach import Reacher, found_keys, reach_levels
 from lethe.operators.sizing import (
     VALUE,
     hot_values,
@@ -89,6 +89,24 @@ def test_hot_rows_are_spread(spark, tmp_path, no_broadcast):
     assert sum(parts) == 18_000 and max(parts) < 8_000
 
 
+def test_scans_are_limited_to_the_reached_range(spark, tmp_path):
+    path = str(tmp_path / "ordered")
+    spark.range(1000).select("id", F.col("id").cast("string").alias("t")).write.parquet(path)
+    rows = spark.read.parquet(path)
+    keys = sized(spark.createDataFrame([("40", 1), ("45", 1), ("x", 1)], "key_no string, chunk_no int"))
+    values = reach_levels(KeyPath("id", "bigint"), keys, {}, "chunk_no")[-1]
+    assert (values.low, values.high) == (40, 45)
+    counted = matched_counts(rows, F.col("id"), values, ["chunk_no"])
+    assert counted.first()["row_count"] == 2
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(id,40)" in plan and "LessThanOrEqual(id,45)" in plan
+    # nothing reached: nothing matches, and an anti join keeps everything
+    nothing = sized(spark.createDataFrame([("x", 1)], "key_no string, chunk_no int"))
+    none = reach_levels(KeyPath("id", "bigint"), nothing, {}, "chunk_no")[-1]
+    assert keyed_join(rows, F.col("id"), none, "left_semi").isEmpty()
+    assert keyed_join(rows, F.col("id"), none, "left_anti").count() == 1000
+
+
 def test_text_keys_are_hot_too(spark, no_broadcast):
     rows = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, "same").otherwise(F.col("id").cast("string")).alias("k")

@@ -191,6 +191,22 @@ def test_up_to_order_then_the_rest(spark, store):
     assert sizes(store, *TREE) == [540, 270, 90]
 
 
+def test_a_filter_on_the_root_spares_the_children(spark, store):
+    """A key whose root row is too young is NOT_FOUND, and its children stay."""
+    seed_orders(spark, store, 100)
+    aged = KeyPath("order_no", where="order_date < add_months({as_of}, -84)")
+    config = DeletionConfig(
+        [Group("ORDERS", "ORDER_NO")],
+        [DeletionRule("ORDERS", "order_items", 1, DIRECT), DeletionRule("ORDERS", "orders", 2, aged)],
+    )
+    erasure.ingest(store, pipeline_keys(spark, 100), BATCH)
+    # order n is of day n of 2020; seven years before the date: older than 11 February
+    erasure.run_deletion_dry_run(store, config, BATCH, as_of="2027-02-11")
+    assert status_counts(store) == {("ORDERS", "VALIDATED"): 40, ("ORDERS", "NOT_FOUND"): 62}
+    erasure.run_deletion(store, config, BATCH, as_of="2027-02-11")
+    assert sizes(store, "order_items", "orders") == [180, 60]
+
+
 def test_unknown_batch(spark, store):
     seed_orders(spark, store, 10)
     assert erasure.run_deletion_dry_run(store, ORDER_CONFIG, "NONE") == 0
