@@ -2,8 +2,11 @@
 
 One hash per shingle chooses a bucket by its leading bits; the bucket keeps the
 smallest remainder, compressed to its number of leading zeros and a few mantissa
-bits behind the leading one.  Runs of registers are band keys.  Documents that
-share a key are compared by the collision-corrected estimate of their Jaccard
+bits behind the leading one.  Hashes of groups of registers are band keys.  A group is
+four neighbours; for sets too small to fill the buckets it is a drawn share of all
+buckets, so large that it still holds several shingles and so small that the few
+shingles in which near duplicates of that size differ often miss it.  A document
+has the bands of its class of sizes and of the next one.  Documents that share a key are compared by the collision-corrected estimate of their Jaccard
 similarity and, where that does not rule the pair out, by their full sets.
 
 Pairs within a band bucket are not spelled out: documents are contracted to
@@ -17,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -34,13 +37,16 @@ PAYLOAD = "doc_id long, n_shingles long, registers binary, shingles binary"
 
 @dataclass(frozen=True)
 class NearParameters:
-    """128 buckets in 32 bands miss a pair of similarity 0.75 about once in 200,000."""
+    """Bands miss a pair of similarity 0.75 about once in 30,000 to 200,000."""
 
     percent: int = 75  # 100 * intersection >= percent * union
     bucket_bits: int = 7
     zero_bits: int = 6
     mantissa_bits: int = 26
     band_rows: int = 4
+    small_bands: int = 64  # per class of small sets
+    small_match: float = 0.15  # chance of a small band at the threshold
+    dense_from: int = 96  # sets from about this size have bands of neighbours
     sigmas: float = 5.0  # the estimate rules a pair out this far below the threshold
 
     @property
@@ -53,6 +59,33 @@ class NearParameters:
         return -(-self.percent // (100 - self.percent)) if self.percent < 100 else 1 << 62
 
 
+@lru_cache(maxsize=4)
+def _classes(p: NearParameters) -> tuple[tuple[float, float, np.ndarray, np.uint64], ...]:
+    """(least size, end of sizes, weights of the registers in each band, seed) by class.
+
+    Similar enough sets are in the same class or in neighbouring ones.
+    """
+    ratio = 100 / p.percent
+    out, low = [], float(p.smallest)
+    odd = mix(np.arange(1, p.buckets + 1, dtype=np.uint64)) | np.uint64(1)
+    while low < p.dense_from and ratio > 1:
+        high = low * ratio
+        # of two sets of at most n shingles each, so many at most are in one of them only
+        differ = max(1, int(2 * (np.ceil(high) - 1) * (100 - p.percent) / (100 + p.percent)))
+        chosen = max(1, round(p.buckets * (1 - p.small_match ** (1 / differ))))
+        weights = np.zeros((p.buckets, p.small_bands), dtype=np.uint64)
+        for band in range(p.small_bands):
+            seed = np.uint64((len(out) << 20) + (band << 8))
+            drawn = np.argsort(mix(np.arange(1, p.buckets + 1, dtype=np.uint64) + seed))[:chosen]
+            weights[drawn, band] = odd[drawn]
+        out.append((low, high, weights, np.uint64(len(out) + 1)))
+        low = high
+    bands = p.buckets // p.band_rows
+    weights = np.zeros((p.buckets, bands), dtype=np.uint64)
+    weights[np.arange(p.buckets), np.arange(p.buckets) // p.band_rows] = odd
+    return (*out, (low, np.inf, weights, np.uint64(0)))
+
+
 def registers(shingles: np.ndarray, p: NearParameters) -> np.ndarray:
     """Compressed minima per bucket of sorted distinct hashes; 0 is an empty bucket."""
     out = np.zeros(p.buckets, dtype=np.uint32)
@@ -69,15 +102,24 @@ def registers(shingles: np.ndarray, p: NearParameters) -> np.ndarray:
     return out
 
 
-def band_keys(sketches: np.ndarray, p: NearParameters) -> tuple[np.ndarray, np.ndarray]:
-    """Key per document and band, and which bands have a register that is not empty."""
-    bands = sketches.reshape(len(sketches), -1, p.band_rows).astype(np.uint64)
-    steps = mix(np.arange(1, p.band_rows + 1, dtype=np.uint64)) | np.uint64(1)
-    keys = np.zeros(bands.shape[:2], dtype=np.uint64)
-    for k in range(p.band_rows):
-        keys = mix(keys + bands[:, :, k] * steps[k])
-    keys = mix(keys + np.arange(1, bands.shape[1] + 1, dtype=np.uint64))
-    return keys, bands.any(axis=2)
+def band_keys(sketches: np.ndarray, sizes: np.ndarray, p: NearParameters) -> list[np.ndarray]:
+    """The keys of every document's bands that have a register that is not empty."""
+    keys = [np.zeros(0, dtype=np.uint64)] * len(sizes)
+    filled = sketches > 0
+    place = np.arange(p.buckets, dtype=np.uint64) << np.uint64(32)
+    spread = np.where(filled, mix(sketches.astype(np.uint64) + place), np.uint64(0))
+    for low, high, weights, seed in _classes(p):
+        rows = np.flatnonzero((sizes >= low * p.percent / 100) & (sizes < high))
+        rows = rows[sizes[rows] >= p.smallest]
+        number = mix(np.arange(1, weights.shape[1] + 1, dtype=np.uint64) + (seed << np.uint64(32)))
+        used = (weights > 0).astype(np.float32)
+        for at in range(0, len(rows), 1000):
+            some = rows[at : at + 1000]
+            own = mix(spread[some] @ weights + number)
+            seen = filled[some].astype(np.float32) @ used > 0
+            for k, row in enumerate(some):
+                keys[row] = np.concatenate((keys[row], own[k][seen[k]]))
+    return keys
 
 
 def estimated_jaccard(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray,
@@ -113,9 +155,9 @@ def _sketch(batches: Iterator[pa.RecordBatch], p: NearParameters) -> Iterator[pa
             h2[row] = mix(shingles ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
             if len(shingles) >= p.smallest:
                 sketches[row] = registers(shingles, p)
-        keys, filled = band_keys(sketches, p)
-        offsets = np.concatenate(([0], np.cumsum(filled.sum(axis=1)))).astype(np.int32)
-        bands = pa.ListArray.from_arrays(offsets, pa.array(keys[filled].view(np.int64)))
+        keys = band_keys(sketches, n, p)
+        offsets = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int32)
+        bands = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(keys).view(np.int64)))
         columns = [batch.column(0), *(pa.array(x.view(np.int64)) for x in (n, h1, h2)), bands]
         yield pa.RecordBatch.from_arrays(
             columns, ["doc_id", "n_shingles", "h1", "h2", "bands"]
