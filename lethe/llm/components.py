@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lethe.operators.sizing import durable
 
+BLOCK = 500_000  # nodes whose links a partition contracts at once
+
 
 def connected_components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of ``links`` (a, b): its smallest reachable node.
 
-    Star contraction: every round points the larger neighbours of a node to its
+    Every partition first replaces its links by stars of what they connect, block by
+    block.  Then star contraction: every round points the larger neighbours of a node to its
     smallest one, then its smaller neighbours too, until only stars are left; the
     number of rounds grows with the logarithm of the longest path.  Minima are
     aggregated on the map side and joined back, so a node with very many links
@@ -20,7 +26,8 @@ def connected_components(links: DataFrame) -> DataFrame:
     links = links.where(F.col("a") != F.col("b")).select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     )
-    state, seen = _written(links.distinct())
+    stars = links.mapInArrow(_local_stars, "u long, v long")
+    state, seen = _written(stars.distinct())
     while seen[0]:
         before = seen
         state, seen = _written(_small_star(_large_star(state)))
@@ -30,6 +37,30 @@ def connected_components(links: DataFrame) -> DataFrame:
     return state.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
 
 
+def _local_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[up]
+        return x
+
+    def stars() -> pa.RecordBatch:
+        ends = [(x, top) for x in parent if (top := root(x)) != x]
+        u, v = zip(*ends, strict=True) if ends else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+
+    for batch in batches:
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            a, b = root(u), root(v)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+        if len(parent) > BLOCK:
+            yield stars()
+            parent.clear()
+    yield stars()
+
+
 def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
     """The edges behind a checkpoint, with a signature of their set."""
     watch = Observation()

@@ -47,6 +47,7 @@ class NearParameters:
     small_bands: int = 64  # per class of small sets
     small_match: float = 0.15  # chance of a small band at the threshold
     dense_from: int = 96  # sets from about this size have bands of neighbours
+    first_share: int = 16  # one bucket in so many is worked on before all others
     sigmas: float = 5.0  # the estimate rules a pair out this far below the threshold
 
     @property
@@ -285,15 +286,20 @@ def _components(texts: DataFrame, linkable: DataFrame, classes: DataFrame,
     component = wanted.frame.select(
         F.col("_value").alias("node"), F.col("_value").alias("component")
     )
-    low, high = 0, 1
+    # a share of the buckets joins most near copies before the others look for pairs
+    low, high, some = 0, 1, F.pmod(F.col("band"), F.lit(p.first_share)) == 0
     while True:
         active = (
             members.join(component, F.col("rep") == F.col("node"))
             .drop("node")
             .join(buckets, "band")
         )
+        active = active if some is None else active.where(some)
         pairs = durable(_pivot_pairs(active, low, high, p))
         component = _contracted(component, _confirmed(pairs, payload, p))
+        if some is not None:
+            some = None
+            continue
         low, high = (high if high > 1 else 0), high * 4
         spread = members.join(component, F.col("rep") == F.col("node")).groupBy("band").agg(
             F.min("component").alias("x"), F.max("component").alias("y")
@@ -344,8 +350,10 @@ def _pivot_pairs(active: DataFrame, low: int, high: int, p: NearParameters) -> D
 
 def _confirmed(pairs: DataFrame, payload: DataFrame, p: NearParameters) -> DataFrame:
     def with_sides(frame, columns):
+        ends = frame.select(F.explode(F.array("a", "b")).alias("_value")).distinct()
+        needed = keyed_join(payload, F.col("doc_id"), measured(ends), "left_semi")
         for side in "ab":
-            own = payload.select(
+            own = needed.select(
                 F.col("doc_id").alias(f"id_{side}"),
                 *(F.col(c).alias(f"{short}{side}") for c, short in columns),
             )
@@ -353,6 +361,6 @@ def _confirmed(pairs: DataFrame, payload: DataFrame, p: NearParameters) -> DataF
         return frame
 
     sketches = with_sides(pairs, [("registers", "r"), ("n_shingles", "n")])
-    likely = sketches.mapInArrow(partial(_promising, p=p), "a long, b long")
-    sets = with_sides(likely.distinct(), [("shingles", "s")])
+    likely = durable(sketches.mapInArrow(partial(_promising, p=p), "a long, b long").distinct())
+    sets = with_sides(likely, [("shingles", "s")])
     return sets.mapInArrow(partial(_verified, p=p), "a long, b long")
