@@ -8,12 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lethe.llm.chat import repair_conversations
 from lethe.llm.decontam import contained_items
 from lethe.llm.hyperminhash import near_duplicates
+from lethe.llm.html_extract import extract_main_text
+from lethe.llm.licence_scan import find_licences
 from lethe.llm.packing import pack, token_pieces
 from lethe.llm.quality import quality_scores
 from lethe.llm.records import new_folder, read_records, record_positions, write_records
 from lethe.llm.token_counts import token_counts
+from lethe.llm.vectors import near_vectors
 from lethe.session import prepare, shared_folder
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -29,6 +33,18 @@ def op1_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(table(spark, sf_dir, "conversations"))
+
+
+def op3_consensus_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+def op4_sorted_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_length_delimited_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     folder = new_folder(spark, shared_folder(spark))
@@ -51,6 +67,10 @@ def op7_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_licence_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_licences(table(spark, sf_dir, "documents"))
+
+
 def op9_containment_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -69,9 +89,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_cotraining,
+        op2_role_repair,
+        op3_consensus_paths,
+        op4_sorted_projections,
         op5_length_delimited_records,
         op6_pretoken_counts,
         op7_residual_packing,
+        op8_licence_classifier,
         op9_containment_search,
         op10_hyperminhash,
         pipeline,
