@@ -17,10 +17,16 @@ from lethe.llm.decontam import contained_items
 from lethe.llm.hyperminhash import near_duplicates
 from lethe.llm.packing import pack, token_pieces
 from lethe.llm.quality import quality_scores
+from lethe.llm.words import bounded_batches
 from lethe.operators.sizing import keyed_join, measured
 from lethe.session import prepare, shared_folder
 
 
+def _ready(spark: SparkSession) -> None:
+    prepare(spark)
+    bounded_batches(spark)
+
+
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """``docs`` without the rows of the ids in ``rejected`` (unique)."""
     ids = rejected.select(F.col("doc_id").cast("long").alias("_value"))
@@ -35,27 +41,27 @@ def _rejected(decided: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier does not reject."""
-    prepare(spark)
+    _ready(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return _without(docs, _rejected(quality_scores(docs, labels)))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of every group of near duplicates."""
-    prepare(spark)
+    _ready(spark)
     return _without(docs, _rejected(near_duplicates(docs)))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    prepare(spark)
+    _ready(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return _without(docs, contained_items(docs, items).select("doc_id").distinct())
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where every piece of every document lies in sequences of 4096 tokens."""
-    prepare(spark)
+    _ready(spark)
     return pack(token_pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
@@ -72,7 +78,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, each written as Parquet and read again by the next."""
-    prepare(spark)
+    _ready(spark)
     folder = f"{shared_folder(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:

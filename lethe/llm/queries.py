@@ -16,6 +16,7 @@ from lethe.llm.licence_scan import find_licences
 from lethe.llm.packing import pack, token_pieces
 from lethe.llm.quality import quality_scores
 from lethe.llm.records import new_folder, read_records, record_positions, write_records
+from lethe.llm.words import bounded_batches
 from lethe.llm.token_counts import token_counts
 from lethe.llm.vectors import near_vectors
 from lethe.session import prepare, shared_folder
@@ -26,6 +27,7 @@ PIECE_VOCABULARY = "piece_bpe_32k.model"
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare(spark)
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 BLOCK = 2 << 20  # bytes of text worked on at once
 SHINGLE = 5  # words of a shingle
@@ -25,6 +26,12 @@ _LOWER[65:91] += 32
 _powers: dict[str, np.ndarray] = {}
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Hand Python a few megabytes at a time, however long the texts are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread every input bit over the 64 output bits."""
     x = x ^ (x >> np.uint64(30))
