@@ -42,7 +42,7 @@ class PassParameters:
         same = 1 - math.acos(self.cosine) / math.pi
         shared = max(0.0, math.log2(max(vectors, 1) / self.window))
         met = min(same**shared, 0.9)
-        return max(4, math.ceil(math.log(self.missed) / math.log(1 - met)))
+        return max(12, math.ceil(math.log(self.missed) / math.log(1 - met)))
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
