@@ -19,7 +19,10 @@ from lethe.operators.sizing import keyed_join, matched_counts
 
 PREVIEW_ROWS = 5
 PREVIEW_SCHEMA = "array<struct<before:string,after:string>>"
-_PARAMETER = re.compile(r"(?<!:):([A-Za-z_]\w*)")
+# quoted text, or a parameter; a colon behind a value is a path into a variant
+_PARAMETER = re.compile(
+    r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|(?<![\w:)\]'"`]):([A-Za-z_]\w*)"""
+)
 
 
 def bind_parameters(expression: str, parameters: dict[str, str] | None) -> Column:
@@ -31,6 +34,8 @@ def bind_parameters(expression: str, parameters: dict[str, str] | None) -> Colum
 
     def literal(found: re.Match) -> str:
         name = found.group(1)
+        if name is None:
+            return found.group(0)
         if name not in parameters:
             raise ValueError(f"mask parameter :{name} was not given")
         value = parameters[name].replace("\\", "\\\\").replace("'", "\\'")

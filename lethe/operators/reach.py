@@ -67,19 +67,22 @@ def _condensed(frame: DataFrame, carry: str | None) -> DataFrame:
     return frame.groupBy(VALUE).agg(F.min(carry).alias(carry))
 
 
-def _parent_links(path: KeyPath, depth: int, tables: dict[str, DataFrame]) -> DataFrame:
+def _parent_links(
+    path: KeyPath, depth: int, tables: dict[str, DataFrame], as_of: str | None = None
+) -> DataFrame:
     """(_up, _down) of one hop: what the parent is found by, what it leads to."""
     hop = path.hops[depth]
     parent = tables[hop.parent_table]
     if hop.where:
-        parent = parent.where(hop.where)
+        parent = parent.where(bind_as_of(hop.where, as_of))
     # the path as seen from this parent, so its match column is the next hop's
     above = replace(path, hops=path.hops[depth + 1 :])
     return parent.select(match_column(above).alias("_up"), F.col(hop.parent_col).alias("_down"))
 
 
 def reach_levels(
-    path: KeyPath, keys: Measured, tables: dict[str, DataFrame], carry: str | None = None
+    path: KeyPath, keys: Measured, tables: dict[str, DataFrame], carry: str | None = None,
+    as_of: str | None = None,
 ) -> list[Measured]:
     """Values reached at each level: first the typed keys, last the target's."""
     columns = [typed_key(path).alias(VALUE)] + ([carry] if carry else [])
@@ -89,19 +92,21 @@ def reach_levels(
     low, high = raw.agg(*bounds).first() if bounds else (None, None)
     levels = [Measured(_condensed(raw, carry), keys.rows, keys.bytes, low, high)]
     for depth in range(len(path.hops) - 1, -1, -1):
-        links = _parent_links(path, depth, tables)
+        links = _parent_links(path, depth, tables, as_of)
         how = "inner" if carry else "left_semi"
         joined = keyed_join(links, F.col("_up"), levels[-1], how)
         levels.append(measured(_condensed(joined.withColumnRenamed("_down", VALUE), carry)))
     return levels
 
 
-def reach(path: KeyPath, keys: Measured, tables: dict[str, DataFrame]) -> Measured:
+def reach(
+    path: KeyPath, keys: Measured, tables: dict[str, DataFrame], as_of: str | None = None
+) -> Measured:
     """Join values at the target's end of the path, each with its lowest chunk.
 
     The lowest ``chunk_no`` is the chunk that would get to the value first.
     """
-    return reach_levels(path, keys, tables, "chunk_no")[-1]
+    return reach_levels(path, keys, tables, "chunk_no", as_of)[-1]
 
 
 @dataclass
@@ -137,7 +142,7 @@ class Reacher:
         missing = {self._identity(p): p for p in paths if self._identity(p) not in self._known}
         if missing:
             keys, tables = self.sized_keys, self.tables
-            found = in_parallel(partial(reach, p, keys, tables) for p in missing.values())
+            found = in_parallel(partial(reach, p, keys, tables, self.as_of) for p in missing.values())
             self._known.update(zip(missing, found, strict=True))
         return self
 
@@ -154,10 +159,10 @@ def found_keys(
     Values are followed down to the target and their presence back up, so only
     sets of values travel, never (key, row) pairs.
     """
-    levels = reach_levels(path, keys, tables)
+    levels = reach_levels(path, keys, tables, as_of=as_of)
     present = present_values(eligible(target, path, as_of), match_column(path), levels[-1])
     for depth in range(len(path.hops)):
-        links = _parent_links(path, depth, tables)
+        links = _parent_links(path, depth, tables, as_of)
         kept = keyed_join(links, F.col("_down"), measured(present), "left_semi")
         present = present_values(kept, F.col("_up"), levels[-2 - depth])
     return (

@@ -15,7 +15,14 @@ from lethe.config import KeyPath
 from lethe.operators.purge import union_all
 from lethe.operators.reach import found_keys
 from lethe.operators.sizing import sized_groups
-from lethe.operators.tasks import COMPLETED, FAILED, NOT_FOUND, PENDING, VALIDATED
+from lethe.operators.tasks import (
+    COMPLETED,
+    FAILED,
+    NOT_FOUND,
+    PARTIAL_COMPLETED,
+    PENDING,
+    VALIDATED,
+)
 
 
 def percent(part: Column, whole: Column) -> Column:
@@ -140,7 +147,8 @@ def signoff_totals(summary: DataFrame, tasks: DataFrame) -> DataFrame:
 
 def progress(tasks: DataFrame, rules: DataFrame) -> DataFrame:
     total = _count()
-    remaining, failed = _count(VALIDATED), _count(FAILED)
+    # partly done tasks are picked up again, so they are open like pending ones
+    remaining, failed = _count(PENDING, VALIDATED, PARTIAL_COMPLETED), _count(FAILED)
     return (
         _per_rule(tasks, rules)
         .agg(

@@ -50,9 +50,16 @@ class Measured:
     low: int | str | None = None  # smallest and largest value, where known
     high: int | str | None = None
 
-    def in_range(self, match: Column) -> Column:
-        """Can a row match at all?  Lets the scan skip files and row groups."""
-        if self.low is None or self.high is None:
+    def in_range(self, match: Column, rows: DataFrame) -> Column:
+        """Can a row of ``rows`` match at all?  Lets the scan skip files and row groups.
+
+        Values of another type are ordered otherwise, so there is no range for them.
+        """
+        same = VALUE in self.frame.columns and (
+            rows.select(match.alias(VALUE)).schema[VALUE].dataType
+            == self.frame.schema[VALUE].dataType
+        )
+        if self.low is None or self.high is None or not same:
             return match.isNotNull()
         return match.between(self.low, self.high)
 
@@ -166,7 +173,7 @@ def keyed_join(rows: DataFrame, match: Column, values: Measured, how: str) -> Da
     """
     left = rows.withColumn(_MATCH, match)
     if how in ("inner", "left_semi"):
-        left = left.where(values.in_range(F.col(_MATCH)))
+        left = left.where(values.in_range(F.col(_MATCH), left))
     if values.broadcastable():
         joined = left.join(F.broadcast(values.frame), F.col(_MATCH) == F.col(VALUE), how)
         return joined.drop(_MATCH, VALUE)
@@ -196,7 +203,8 @@ def matched_counts(
     Only the join column is read.  In a shuffled join, rows are first counted
     per join value on the map side, so a hot value travels as a few counts.
     """
-    narrow = rows.select(match.alias(_MATCH)).where(values.in_range(F.col(_MATCH)))
+    narrow = rows.select(match.alias(_MATCH))
+    narrow = narrow.where(values.in_range(F.col(_MATCH), narrow))
     if values.broadcastable():
         joined = narrow.join(F.broadcast(values.frame), F.col(_MATCH) == F.col(VALUE))
         return joined.groupBy(*by).agg(F.count(F.lit(1)).alias("row_count"))
@@ -207,7 +215,8 @@ def matched_counts(
 
 def present_values(rows: DataFrame, match: Column, values: Measured) -> DataFrame:
     """The reached values that occur in ``rows``, each once."""
-    narrow = rows.select(match.alias(VALUE)).where(values.in_range(F.col(VALUE)))
+    narrow = rows.select(match.alias(VALUE))
+    narrow = narrow.where(values.in_range(F.col(VALUE), narrow))
     if values.broadcastable():
         wanted = F.broadcast(values.frame.select(VALUE))
         return narrow.join(wanted, VALUE, "left_semi").distinct()

@@ -196,22 +196,34 @@ def run_deletion(
     all_tasks = batch_rows(read_or_empty(store, TASKS, TASK_SCHEMA), batch_id)
     if not scope or all_tasks.isEmpty():
         return 0
+    reached = F.coalesce(F.col("done_order"), F.lit(0))
+    stages: dict[str, set[int]] = {}
+    for code, order in (
+        all_tasks.where(F.col("status").isin(*RUNNABLE)).select("group_code", reached).distinct().collect()
+    ):
+        stages.setdefault(code, set()).add(order)
     done = 0
-    for code, keys in chunked_keys(all_tasks, config, scope).items():
-        if keys.rows == 0:
-            continue
+    for code in (c for c in scope if c in stages):
         last = config.root_rule(code).execution_order
         up_to = last if up_to_order is None else min(up_to_order, last)
-        rules = config.rules_of(code, up_to)
-        with store.begin() as change:
-            change.note = {"purged_batch": batch_id, "group_code": code}
-            if rules:
-                reacher = Reacher.over(keys, target_tables(store, rules), as_of)
-                _purge_group(change, batch_id, reacher, rules)
+        ran = False
+        # a task partly purged before goes on behind the order it has reached
+        for order in sorted(stages[code]):
+            if order >= up_to > 0:
+                continue
+            rules = [r for r in config.rules_of(code, up_to) if r.execution_order > order]
             all_tasks = batch_rows(store.read(TASKS), batch_id)
-            tasks = complete_tasks(all_tasks, is_runnable(code), now(), up_to, last)
-            replace_batch(change, TASKS, conform(tasks, TASK_SCHEMA), batch_id)
-        done += 1
+            which = is_runnable(code) & (reached == order)
+            with store.begin() as change:
+                change.note = {"purged_batch": batch_id, "group_code": code}
+                if rules:
+                    keys = chunked_keys(all_tasks.where(which), config, [code])[code]
+                    reacher = Reacher.over(keys, target_tables(store, rules), as_of)
+                    _purge_group(change, batch_id, reacher, rules)
+                tasks = complete_tasks(all_tasks, which, now(), up_to, last)
+                replace_batch(change, TASKS, conform(tasks, TASK_SCHEMA), batch_id)
+            ran = True
+        done += ran
     return done
 
 
@@ -222,6 +234,8 @@ def _purge_group(
     reacher.prepare([r.path for r in rules])
 
     def rewrite(name: str, members: list[DeletionRule]) -> None:
+        if not _reached(members, name, reacher):
+            return
         kept = survivors(members, reacher)
         partition_by = change.tables[name].partition_by
         if partition_by:
@@ -239,18 +253,30 @@ def _purge_group(
     change.append(AUDIT, conform(entries, AUDIT_SCHEMA), ("batch_id",))
 
 
+def _reached(members: list[DeletionRule], name: str, reacher: Reacher) -> bool:
+    """Is any row of the table reached?  If not, it stays as it is."""
+    for rule in members:
+        target = eligible(reacher.tables[name], rule.path, reacher.as_of)
+        narrow = target.select(match_column(rule.path).alias("_key"))
+        hits = keyed_join(narrow, F.col("_key"), reacher.values(rule.path), "left_semi")
+        if not hits.isEmpty():
+            return True
+    return False
+
+
 def certificate(store: SnapshotStore, batch_id: str) -> DataFrame:
     """Certificate of destruction, with whether the purged rows are gone for good.
 
     A version from before the purge still holds them, so ``older_copies_removed``
-    turns true once the store has been expired past it.
+    turns true once the store has been expired past it and no adopted folder that
+    tables were written from exists any more.  Without a purge it is false.
     """
     audit = batch_rows(store.read(AUDIT), batch_id)
     tasks = batch_rows(store.read(TASKS), batch_id)
     commits = store.commits()
     purges = [n for n, note in commits if note.get("purged_batch") == batch_id]
     # an expired purge commit was itself followed by the ones that are left
-    removed = not purges or commits[0][0] >= purges[-1]
+    removed = bool(purges) and commits[0][0] >= purges[-1] and not store.left_behind()
     return reports.certificate(audit, tasks).withColumn("older_copies_removed", F.lit(removed))
 
 

@@ -616,10 +616,10 @@ _BODIES = {
         LEFT JOIN k ON r.group_code IS NOT DISTINCT FROM k.group_code
             AND r.target_table IS NULL""",
     "rpt_progress": f"""SELECT {_SAME}, count(*) AS total_tasks,
-        {_count("'COMPLETED'")} AS completed_tasks, {_count("'VALIDATED'")} AS remaining_tasks,
+        {_count("'COMPLETED'")} AS completed_tasks, {_count("'PENDING', 'VALIDATED', 'PARTIAL_COMPLETED'")} AS remaining_tasks,
         {_count("'NOT_FOUND'")} AS skipped_not_found, {_count("'FAILED'")} AS failed_errors,
         {pct(_count("'COMPLETED', 'NOT_FOUND'"), 'count(*)')} AS progress_pct,
-        CASE WHEN {_count("'VALIDATED'")} = 0 AND {_count("'FAILED'")} = 0
+        CASE WHEN {_count("'PENDING', 'VALIDATED', 'PARTIAL_COMPLETED'")} = 0 AND {_count("'FAILED'")} = 0
             THEN 'PASSED: 100% COMPLETED' ELSE 'INCOMPLETE / HAS FAILURES' END AS execution_status
         FROM finished JOIN rul USING (group_code) GROUP BY {_SAME}""",
     "rpt_reconcile": f"""

@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
-def audit_rate(audit: DataFrame, late: str = "10 minutes", width: str = "1 minute") -> DataFrame:
-    if audit.isStreaming:
-        audit = audit.withWatermark("executed_at", late)
+def audit_rate(audit: DataFrame, width: str = "1 minute") -> DataFrame:
     return (
         audit.groupBy(F.window("executed_at", width).alias("_w"), "group_code")
         .agg(
@@ -22,25 +20,28 @@ def audit_rate(audit: DataFrame, late: str = "10 minutes", width: str = "1 minut
     )
 
 
-def start_audit_rate(audit: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Write the windows each micro-batch changed; the latest state of one wins."""
+def start_audit_rate(
+    audit: DataFrame, out: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Write each micro-batch's own counts per window; reading adds them up.
+
+    No window is ever closed, so a late audit row is one more part of its window.  A
+    micro-batch that is repeated replaces its counts.
+    """
 
     def take(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+        audit_rate(batch).write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
 
     return (
-        audit_rate(audit)
-        .writeStream.outputMode("update")
-        .foreachBatch(take)
+        audit.writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
 
 def read_rates(spark: SparkSession, out: str) -> DataFrame:
-    states = spark.read.option("basePath", out).parquet(f"{out}/epoch=*")
-    return states.groupBy("minute_start", "group_code").agg(
-        F.max_by("audit_rows", "epoch").alias("audit_rows"),
-        F.max_by("rows_deleted", "epoch").alias("rows_deleted"),
+    parts = spark.read.option("basePath", out).parquet(f"{out}/epoch=*")
+    return parts.groupBy("minute_start", "group_code").agg(
+        F.sum("audit_rows").alias("audit_rows"), F.sum("rows_deleted").alias("rows_deleted")
     )

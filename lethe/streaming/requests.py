@@ -23,38 +23,35 @@ def read_requests(
     return reader.csv(folder)
 
 
-def distinct_requests(requests: DataFrame, repeats_within: str = "7 days") -> DataFrame:
-    """Cleaned requests, repeats within the watermark dropped.
+def distinct_requests(requests: DataFrame) -> DataFrame:
+    """Cleaned requests of one micro-batch, each key once.
 
-    State is kept for that span only.  Later repeats are caught when the batch
-    is stored, by an anti join with the keys already there.
+    Repeats in other micro-batches are caught when the batch is stored, by an anti
+    join with the keys already there; so no request is too late to be taken.
     """
-    return (
-        clean_keys(requests)
-        .withWatermark("requested_at", repeats_within)
-        .dropDuplicatesWithinWatermark(["key_type", "key_no"])
-    )
+    return clean_keys(requests).dropDuplicates(["key_type", "key_no"])
 
 
 def start_intake(
     store: SnapshotStore, config: DeletionConfig, requests: DataFrame, batch_id: str,
     checkpoint: str, as_of: str | None = None, validate: bool = True,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Store, expand and validate every request once.
 
     A micro-batch that is repeated after a failure adds nothing: known keys and
-    tasks are skipped.
+    tasks are skipped.  ``trigger`` holds the arguments of the stream's trigger; the
+    default takes what is there and ends.
     """
 
     def take(batch: DataFrame, epoch: int) -> None:
-        ingest(store, batch, batch_id)
+        ingest(store, distinct_requests(batch), batch_id)
         if validate:
             run_deletion_dry_run(store, config, batch_id, as_of=as_of)
 
     return (
-        distinct_requests(requests)
-        .writeStream.foreachBatch(take)
+        requests.writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )

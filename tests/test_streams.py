@@ -40,6 +40,9 @@ def test_intake_takes_each_request_once(spark, tmp_path):
     assert run() == expected
     assert run("fresh") == expected  # everything again, without the stream's memory
     assert store.read(erasure.ITEMS).count() == 4
+    (drop / "late.csv").write_text("key_type,key_no,requested_at\nT,4,2020-01-01T00:00:00\n")
+    expected |= {("4", "VALIDATED")}
+    assert run() == expected  # years older than what was taken before
 
 
 @pytest.mark.parametrize("mode", ["broadcast", "shuffle"])
@@ -84,3 +87,18 @@ def test_audit_rate_as_stream_and_batch(spark, tmp_path):
     start_audit_rate(stream, out, str(tmp_path / "c")).awaitTermination()
     got = sorted(map(tuple, read_rates(spark, out).collect()))
     assert got == sorted(map(tuple, audit_rate(audit).collect()))
+
+
+def test_late_audit_rows_are_counted(spark, tmp_path):
+    source = tmp_path / "audit"
+    out, checkpoint = str(tmp_path / "rates"), str(tmp_path / "c")
+    schema = "group_code string, deleted_row_count long, executed_at timestamp"
+    for hour in (12, 15, 9):  # the last file is hours late
+        rows = [("G", 5, f"2025-01-01 {hour:02}:00:30")]
+        frame = spark.createDataFrame(rows, "group_code string, deleted_row_count long, t string")
+        frame.selectExpr("group_code", "deleted_row_count", "timestamp(t) AS executed_at").write.mode(
+            "append"
+        ).parquet(str(source))
+        stream = spark.readStream.schema(schema).parquet(str(source))
+        start_audit_rate(stream, out, checkpoint).awaitTermination()
+    assert read_rates(spark, out).count() == 3
