@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lethe.operators.sizing import keyed_join, measured
+from lethe.operators.sizing import durable, keyed_join, measured
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
@@ -223,8 +223,10 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
         _votes, "host string, path string, share double, bonus double"
     )
     # every page's outermost path has all of its text, so the largest sum counts a host's pages
-    summed = votes.groupBy("host", "path").agg(
-        F.sum("share").alias("share"), F.max("bonus").alias("bonus")
+    summed = durable(
+        votes.groupBy("host", "path").agg(
+            F.sum("share").alias("share"), F.max("bonus").alias("bonus")
+        )
     )
     pages_of = summed.groupBy("host").agg(F.max("share").alias("most"))
     score = F.round(F.col("share") / F.col("most") + F.col("bonus"), 9)
