@@ -14,6 +14,11 @@ components while pivots of the bucket are compared with its other components,
 one pivot first, then four times as many each round, until every bucket is one
 component or all its members have been pivots.  So no link between different
 texts is lost to a cap, and a bucket of near copies costs a few pivots only.
+
+Members of a large bucket that link with nothing would meet all others there.  Most of
+them hold many shingles that no other member of an unfinished bucket has.  These are
+counted once, after the first pivots; without them two sets cannot have more in common
+than the smaller number of shared shingles, which rules most such pairs out exactly.
 """
 
 from __future__ import annotations
@@ -205,6 +210,25 @@ def _promising(batches: Iterator[pa.RecordBatch], p: NearParameters) -> Iterator
         yield batch.select(["a", "b"]).filter(keep)
 
 
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per document and shingle."""
+    for batch in batches:
+        sets = batch.column(batch.schema.get_field_index("shingles"))
+        ids = batch.column(batch.schema.get_field_index("doc_id"))
+        rows, hashes, size = [], [], 0
+        for row, own in enumerate(sets):
+            rows.append(row)
+            hashes.append(np.frombuffer(own.as_buffer(), np.int64))
+            size += len(hashes[-1])
+            if size > 1 << 20 or row + 1 == batch.num_rows:
+                owners = np.repeat(np.array(rows), [len(h) for h in hashes])
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(pa.array(owners)), pa.array(np.concatenate(hashes))],
+                    ["doc_id", "shingle"],
+                )
+                rows, hashes, size = [], [], 0
+
+
 def _verified(batches: Iterator[pa.RecordBatch], p: NearParameters) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
@@ -286,8 +310,11 @@ def _components(texts: DataFrame, linkable: DataFrame, classes: DataFrame,
     component = wanted.frame.select(
         F.col("_value").alias("node"), F.col("_value").alias("component")
     )
+    several = classes.groupBy("rep").count().where("count > 1").select("rep")
     # a share of the buckets joins most near copies before the others look for pairs
     low, high, some = 0, 1, F.pmod(F.col("band"), F.lit(p.first_share)) == 0
+    members = members.withColumn("s", F.col("n"))
+    counted = False
     while True:
         active = (
             members.join(component, F.col("rep") == F.col("node"))
@@ -301,12 +328,45 @@ def _components(texts: DataFrame, linkable: DataFrame, classes: DataFrame,
             some = None
             continue
         low, high = (high if high > 1 else 0), high * 4
-        spread = members.join(component, F.col("rep") == F.col("node")).groupBy("band").agg(
-            F.min("component").alias("x"), F.max("component").alias("y")
-        )
-        size = spread.where("x != y").join(buckets, "band").agg(F.max("size")).first()[0]
+        size = _unfinished(members, component).join(buckets, "band").agg(F.max("size")).first()[0]
         if size is None or size <= max(low, 2):
             return component
+        if not counted:
+            members, counted = _with_shared(members, component, buckets, payload, several, p), True
+
+
+def _unfinished(members: DataFrame, component: DataFrame) -> DataFrame:
+    """(band) of the buckets whose members are in several components."""
+    spread = members.join(component, F.col("rep") == F.col("node")).groupBy("band").agg(
+        F.min("component").alias("x"), F.max("component").alias("y")
+    )
+    return spread.where("x != y").select("band")
+
+
+def _with_shared(members: DataFrame, component: DataFrame, buckets: DataFrame, payload: DataFrame,
+                 several: DataFrame, p: NearParameters) -> DataFrame:
+    """Members of unfinished buckets of more than two, ``s`` being their shared shingles.
+
+    A shingle is shared if two of the documents here have it.  Those that have too few
+    for any link are left out.  Ids of several different texts keep all shingles.
+    """
+    bands = _unfinished(members, component).join(buckets.where("size > 2").select("band"), "band")
+    rest = durable(members.drop("s").join(bands, "band"))
+    ids = measured(rest.select(F.col("rep").alias("_value")).distinct())
+    entries = keyed_join(payload, F.col("doc_id"), ids, "left_semi").mapInArrow(
+        _entries, "doc_id long, shingle long"
+    )
+    own = (
+        entries.groupBy("shingle")
+        .agg(F.count(F.lit(1)).alias("documents"), F.min("doc_id").alias("_value"))
+        .where("documents = 1")
+        .groupBy("_value")
+        .agg(F.count(F.lit(1)).alias("own"))
+        .join(several, F.col("_value") == F.col("rep"), "left_anti")
+    )
+    known = keyed_join(rest, F.col("rep"), measured(own), "left")
+    known = known.withColumn("s", F.col("n") - F.coalesce("own", F.lit(0))).drop("own")
+    return durable(known.where(100 * F.col("s") >= p.percent * F.col("n")))
 
 
 def _contracted(component: DataFrame, links: DataFrame) -> DataFrame:
@@ -336,10 +396,11 @@ def _pivot_pairs(active: DataFrame, low: int, high: int, p: NearParameters) -> D
         pivot = (due >= low) & (due < high) & (F.col("rep") != F.col("first"))
     pivots = active.where(pivot).select(
         F.col("band").alias("key"),
-        *(F.col(c).alias(f"p_{c}") for c in ("rep", "n", "u", "component")),
+        *(F.col(c).alias(f"p_{c}") for c in ("rep", "n", "u", "s", "component")),
     )
     later = (F.col("u") > F.col("p_u")) | ((F.col("u") == F.col("p_u")) & (F.col("rep") > F.col("p_rep")))
-    sizes = 100 * F.least("n", "p_n") >= p.percent * F.greatest("n", "p_n")
+    common = F.least("s", "p_s")  # at most
+    sizes = 100 * common >= p.percent * (F.col("n") + F.col("p_n") - common)
     return (
         active.join(pivots, F.col("band") == F.col("key"))
         .where(later & sizes & (F.col("component") != F.col("p_component")))

@@ -87,6 +87,26 @@ def test_near_duplicates_of_short_texts_and_a_large_group(spark, no_broadcast):
     assert got == components({k: shingles(t) for k, t in rows})
 
 
+@pytest.mark.parametrize("owners", [2])
+def test_near_duplicates_with_edits_that_few_share(spark, owners):
+    rng = np.random.default_rng(owners)
+    words = [f"v{i}" for i in range(150)]
+    rows = []
+    for i in range(200):  # some link with nothing, though they share bands with all others
+        own = list(words)
+        place = np.random.default_rng(i // owners)
+        for k in place.integers(0, 150, place.integers(0, 9)):
+            own[k] = f"x{i // owners}"
+        rows.append((i, " ".join(own + [f"z{i}"] * rng.integers(0, 2))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_duplicates(docs).collect()}
+    assert got == components({k: shingles(t) for k, t in rows})
+    # an id with two texts keeps the links of both
+    twice = docs.unionByName(spark.createDataFrame([(0, " ".join(f"q{k}" for k in range(600)))], docs.schema))
+    again = {r.doc_id: r.component_id for r in near_duplicates(twice).collect()}
+    assert again == got
+
+
 def test_near_duplicates_odd_rows(spark, odd):
     got = sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0, r.kept) for r in near_duplicates(odd).collect())
     by_id = {g[0]: g for g in got if g[0]}
