@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from lethe.operators.sizing import durable
+from lethe.llm.tables import written
 
 BLOCK = 500_000  # nodes whose links a partition contracts at once
 
@@ -27,12 +27,9 @@ def connected_components(links: DataFrame) -> DataFrame:
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     )
     stars = links.mapInArrow(_local_stars, "u long, v long")
-    state, seen = _written(stars.distinct())
-    while seen[0]:
-        before = seen
-        state, seen = _written(_small_star(_large_star(state)))
-        if seen == before:
-            break
+    state, n = _counted(stars.distinct())
+    while n and not _all_stars(state):
+        state, n = _counted(_small_star(_large_star(state)), n)  # never more edges than before
     roots = state.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return state.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
 
@@ -61,12 +58,19 @@ def _local_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield stars()
 
 
-def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
-    """The edges behind a checkpoint, with a signature of their set."""
+def _counted(edges: DataFrame, most: int | None = None) -> tuple[DataFrame, int]:
+    """The edges behind a written table, and their number."""
     watch = Observation()
-    mark = F.xxhash64("u", "v").cast("decimal(20,0)")
-    written = durable(edges.observe(watch, F.count(F.lit(1)).alias("n"), F.sum(mark).alias("s")))
-    return written, (watch.get["n"], watch.get["s"])
+    table = written(edges.observe(watch, F.count(F.lit(1)).alias("n")), most)
+    return table, watch.get["n"]
+
+
+def _all_stars(edges: DataFrame) -> bool:
+    """Does every node that points anywhere point to one node, which points nowhere?"""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into"))
+    ends = ends.union(edges.select("v", F.lit(0), F.lit(1)))
+    seen = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return seen.where("out > 1 or (out > 0 and into > 0)").isEmpty()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ similarity and, where that does not rule the pair out, by their full sets.
 
 Pairs within a band bucket are not spelled out: documents are contracted to
 components while pivots of the bucket are compared with its other components,
-one pivot first, then four times as many each round, until every bucket is one
+one pivot first, then sixteen times as many each round, until every bucket is one
 component or all its members have been pivots.  So no link between different
 texts is lost to a cap, and a bucket of near copies costs a few pivots only.
 
@@ -33,8 +33,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lethe.llm.components import connected_components
+from lethe.llm.tables import written, written_values
 from lethe.llm.words import mix, shingle_sets
-from lethe.operators.sizing import durable, keyed_join, measured
+from lethe.operators.sizing import durable, keyed_join
 
 SKETCH = "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>"
 PAYLOAD = "doc_id long, n_shingles long, registers binary, shingles binary"
@@ -288,20 +289,20 @@ def _components(texts: DataFrame, linkable: DataFrame, classes: DataFrame,
         .where("low != high")
         .select("_value")
     )
-    shared = keyed_join(entries, F.col("band"), measured(shared), "left_semi").distinct()
+    shared = keyed_join(entries, F.col("band"), written_values(shared), "left_semi").distinct()
     # the order in which members are pivots, from 0 to below 1
     order = F.shiftrightunsigned(F.xxhash64("rep"), 11) / F.lit(2.0**53)
-    members = durable(
+    members = written(
         shared.join(classes, ["n_shingles", "h1", "h2"])
         .select("band", "rep", F.col("n_shingles").alias("n"), order.alias("u"))
         .distinct()
     )
-    buckets = durable(
+    buckets = written(
         members.groupBy("band").agg(
             F.min(F.struct("u", "rep"))["rep"].alias("first"), F.count(F.lit(1)).alias("size")
         )
     )
-    wanted = measured(members.select(F.col("rep").alias("_value")).distinct())
+    wanted = written_values(members.select(F.col("rep").alias("_value")).distinct())
     payload = durable(
         keyed_join(texts, F.col("doc_id"), wanted, "left_semi").mapInArrow(
             partial(_payload, p=p), PAYLOAD
@@ -322,12 +323,12 @@ def _components(texts: DataFrame, linkable: DataFrame, classes: DataFrame,
             .join(buckets, "band")
         )
         active = active if some is None else active.where(some)
-        pairs = durable(_pivot_pairs(active, low, high, p))
-        component = _contracted(component, _confirmed(pairs, payload, p))
+        pairs = written(_pivot_pairs(active, low, high, p))
+        component = _contracted(component, _confirmed(pairs, payload, p), wanted.rows)
         if some is not None:
             some = None
             continue
-        low, high = (high if high > 1 else 0), high * 4
+        low, high = (high if high > 1 else 0), high * 16
         size = _unfinished(members, component).join(buckets, "band").agg(F.max("size")).first()[0]
         if size is None or size <= max(low, 2):
             return component
@@ -351,8 +352,8 @@ def _with_shared(members: DataFrame, component: DataFrame, buckets: DataFrame, p
     for any link are left out.  Ids of several different texts keep all shingles.
     """
     bands = _unfinished(members, component).join(buckets.where("size > 2").select("band"), "band")
-    rest = durable(members.drop("s").join(bands, "band"))
-    ids = measured(rest.select(F.col("rep").alias("_value")).distinct())
+    rest = written(members.drop("s").join(bands, "band"))
+    ids = written_values(rest.select(F.col("rep").alias("_value")).distinct())
     entries = keyed_join(payload, F.col("doc_id"), ids, "left_semi").mapInArrow(
         _entries, "doc_id long, shingle long"
     )
@@ -364,13 +365,13 @@ def _with_shared(members: DataFrame, component: DataFrame, buckets: DataFrame, p
         .agg(F.count(F.lit(1)).alias("own"))
         .join(several, F.col("_value") == F.col("rep"), "left_anti")
     )
-    known = keyed_join(rest, F.col("rep"), measured(own), "left")
+    known = keyed_join(rest, F.col("rep"), written_values(own), "left")
     known = known.withColumn("s", F.col("n") - F.coalesce("own", F.lit(0))).drop("own")
-    return durable(known.where(100 * F.col("s") >= p.percent * F.col("n")))
+    return written(known.where(100 * F.col("s") >= p.percent * F.col("n")))
 
 
-def _contracted(component: DataFrame, links: DataFrame) -> DataFrame:
-    """Components after joining those that new links connect."""
+def _contracted(component: DataFrame, links: DataFrame, rows: int) -> DataFrame:
+    """Components after joining those that new links connect; ``rows`` nodes in all."""
     ends = links
     for side in "ab":
         own = component.select(
@@ -380,7 +381,7 @@ def _contracted(component: DataFrame, links: DataFrame) -> DataFrame:
     joined = connected_components(ends.select(F.col("c_a").alias("a"), F.col("c_b").alias("b")))
     joined = joined.select(F.col("node").alias("old"), F.col("component").alias("new"))
     moved = component.join(joined, F.col("component") == F.col("old"), "left")
-    return durable(moved.select("node", F.coalesce("new", "component").alias("component")))
+    return written(moved.select("node", F.coalesce("new", "component").alias("component")), rows)
 
 
 def _pivot_pairs(active: DataFrame, low: int, high: int, p: NearParameters) -> DataFrame:
@@ -412,7 +413,7 @@ def _pivot_pairs(active: DataFrame, low: int, high: int, p: NearParameters) -> D
 def _confirmed(pairs: DataFrame, payload: DataFrame, p: NearParameters) -> DataFrame:
     def with_sides(frame, columns):
         ends = frame.select(F.explode(F.array("a", "b")).alias("_value")).distinct()
-        needed = keyed_join(payload, F.col("doc_id"), measured(ends), "left_semi")
+        needed = keyed_join(payload, F.col("doc_id"), written_values(ends), "left_semi")
         for side in "ab":
             own = needed.select(
                 F.col("doc_id").alias(f"id_{side}"),
@@ -422,6 +423,6 @@ def _confirmed(pairs: DataFrame, payload: DataFrame, p: NearParameters) -> DataF
         return frame
 
     sketches = with_sides(pairs, [("registers", "r"), ("n_shingles", "n")])
-    likely = durable(sketches.mapInArrow(partial(_promising, p=p), "a long, b long").distinct())
+    likely = written(sketches.mapInArrow(partial(_promising, p=p), "a long, b long").distinct())
     sets = with_sides(likely, [("shingles", "s")])
-    return sets.mapInArrow(partial(_verified, p=p), "a long, b long")
+    return written(sets.mapInArrow(partial(_verified, p=p), "a long, b long"))
