@@ -37,12 +37,14 @@ def mask_rows(
 
 def start_suppression(
     events: DataFrame, match: Column, erased: Callable[[], Measured], out: str,
-    checkpoint: str, masks: dict[str, Column] | None = None,
+    checkpoint: str, masks: dict[str, Column] | None = None, trigger: dict | None = None,
 ) -> StreamingQuery:
     """Write the stream without (or with masked) rows of erased subjects.
 
     ``erased`` is asked for each micro-batch, so new erasures take effect at
     once.  A micro-batch owns its output directory and a repeat overwrites it.
+    ``trigger`` holds the arguments of the stream's trigger; the default takes what
+    is there and ends.
     """
 
     def take(batch: DataFrame, epoch: int) -> None:
@@ -56,7 +58,7 @@ def start_suppression(
     return (
         events.writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 

@@ -73,6 +73,24 @@ def test_suppression(spark, tmp_path, mode, request):
     assert masked.where("v = 'gone'").count() == sum(w in (1, 2) for w in plain)
 
 
+def test_suppression_with_a_trigger_of_its_own(spark, tmp_path):
+    source, out = str(tmp_path / "events"), str(tmp_path / "out")
+    rows = spark.range(10).select(F.col("id").alias("who"))
+    rows.write.parquet(source)
+    erased = sized(spark.createDataFrame([(1,)], f"{VALUE} long"))
+    query = start_suppression(
+        spark.readStream.schema(rows.schema).parquet(source), F.col("who"), lambda: erased,
+        out, out + "-c", trigger={"processingTime": "1 second"},
+    )
+    try:
+        query.processAllAvailable()
+        rows.write.mode("append").parquet(source)
+        query.processAllAvailable()  # goes on with what arrives later
+    finally:
+        query.stop()
+    assert read_output(spark, out).count() == 18
+
+
 def test_audit_rate_as_stream_and_batch(spark, tmp_path):
     source, out = str(tmp_path / "audit"), str(tmp_path / "rates")
     audit = spark.range(100).select(
