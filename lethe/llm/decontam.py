@@ -5,8 +5,10 @@ and is sketched with 2**(c + 1) buckets: the smallest hash of every bucket.  Wit
 buckets in proportion to the set, an item's shingle that a document holds is the
 minimum of its bucket about four times out of five however long the document is,
 so the share of an item's registers found in the document's sketch estimates
-containment.  Items are sketched once per class that can contain them.  Pairs
-with enough equal registers are verified by exact containment of shingle texts.
+containment.  Items are sketched once per class that can contain them.  A sketch of
+few registers may miss all of them, so the shingles of short items are looked up among
+all shingles of the documents instead.  Pairs with enough equal registers or shingles
+are verified by exact containment of shingle texts.
 
 Everything is column expressions and joins.
 """
@@ -30,6 +32,9 @@ class ContainmentParameters:
     # registers that must agree, as a share of those expected at that containment
     share_of_expected: float = 0.25
     surviving: float = 0.78  # of contained shingles that are the minimum of their bucket
+    # distinct shingles up to which an item is looked up whole; the sketch misses a
+    # longer one that a document just holds less than once in a million
+    whole: int = 32
 
 
 def word_array(text: Column) -> Column:
@@ -149,11 +154,14 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
 
 
 def _candidates(texts: DataFrame, wanted: DataFrame, p: ContainmentParameters) -> DataFrame:
-    """(doc_id, items): documents with the items whose sketches agree enough."""
+    """(doc_id, items): documents with the items whose shingles or sketches agree enough."""
+    n = F.size("hashes")
+    short = n <= p.whole
     sizes = F.sequence(F.lit(0), F.lit(_CLASSES))
-    fits = F.pow(F.lit(2.0), F.col("width")) * 100 >= F.size("hashes") * p.percent
+    fits = F.pow(F.lit(2.0), F.col("width")) * 100 >= n * p.percent
     per_class = (
-        wanted.withColumn("width", F.explode(sizes))
+        wanted.where(~short)
+        .withColumn("width", F.explode(sizes))
         .where(fits)
         .withColumn("minima", bucket_minima(F.col("hashes"), F.col("width")))
     )
@@ -164,17 +172,30 @@ def _candidates(texts: DataFrame, wanted: DataFrame, p: ContainmentParameters) -
         F.greatest(F.floor(expected), F.lit(1)).alias("needed"),
         F.explode("minima").alias("register"),
     )
-    key = lambda: F.xxhash64("width", "register")
+    whole = F.lit(-1)  # stands for the width where all shingles are registers
+    shingles = wanted.where(short).select(
+        whole.alias("width"),
+        "item_id",
+        F.ceil(n * p.percent / 100).alias("needed"),
+        F.explode("hashes").alias("register"),
+    )
+    key = F.xxhash64
     of_items: Measured = measured(
-        registers.groupBy(key().alias("_value")).agg(
-            F.collect_set(F.struct("item_id", "needed")).alias("of")
-        )
+        registers.unionByName(shingles)
+        .groupBy(key("width", "register").alias("_value"))
+        .agg(F.collect_set(F.struct("item_id", "needed")).alias("of"))
     )
+    kinds = {r["short"] for r in wanted.select(short.alias("short")).distinct().collect()}
+    width = F.col("width")
+    keys = {
+        True: F.transform("hashes", lambda x: key(whole, x)),
+        False: F.transform(bucket_minima(F.col("hashes"), width), lambda x: key(width, x)),
+    }
+    asked = [keys[kind] for kind in sorted(kinds or {False})]
     sketched = (
         texts.select("doc_id", shingle_hashes(F.col("text")).alias("hashes"))
-        .select("doc_id", "hashes", size_class(F.size("hashes")).alias("width"))
-        .select("doc_id", "width", F.explode(bucket_minima(F.col("hashes"), F.col("width"))).alias("register"))
-        .select("doc_id", key().alias("key"))
+        .select("doc_id", "hashes", size_class(n).alias("width"))
+        .select("doc_id", F.explode(F.concat(*asked)).alias("key"))
     )
     hits = keyed_join(sketched, F.col("key"), of_items, "inner")
     agreed = (

@@ -162,6 +162,26 @@ def test_contained_items(spark, documents, odd):
     assert contained_items(odd.where("false"), few).count() == 0
 
 
+def test_short_items_in_long_documents(spark, no_broadcast):
+    rng = np.random.default_rng(3)
+    docs = [(d, [f"w{x}" for x in rng.integers(0, 5000, int(rng.integers(40, 700)))]) for d in range(60)]
+    items = []
+    for i in range(240):
+        words = docs[i % 60][1]
+        size = 5 + i % 12
+        at = int(rng.integers(0, len(words) - size))
+        items.append((i, " ".join(words[at : at + size] + ["tail"] * (i % 2))))
+    items += [(900, " ".join(docs[0][1][:40])), (901, " ".join(docs[1][1]))]  # and longer ones
+    docs = [(d, " ".join(words)) for d, words in docs]
+    held = {d: shingles(text) for d, text in docs}
+    wanted = {i: shingles(text) for i, text in items}
+    want = {(d, i, len(h & w)) for d, h in held.items() for i, w in wanted.items() if 4 * len(h & w) >= 3 * len(w)}
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = contained_items(*frames).collect()
+    assert {(r.doc_id, r.item_id, r.matched) for r in got} == want and len(want) > 150
+    assert {r.item_id for r in contained_items(frames[0], frames[1].where("item_id < 120")).collect()} == {i for _, i, _ in want if i < 120}
+
+
 def test_words_are_encoded_as_by_the_tokenizer():
     words = WordEncoder(WORD)
     assert words.direct
