@@ -7,6 +7,7 @@ import math
 from collections import defaultdict
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -89,6 +90,27 @@ def test_vectors_equal_brute_force(spark):
     assert near_vectors(frame.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("direct", [32_768, 500])
+def test_links_in_a_dense_direction(spark, direct):
+    rng = np.random.default_rng(11)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    side = lambda n, c: unit(rng.standard_normal((n, 64)) @ (np.eye(64) - np.outer(c, c)))
+    c = unit(rng.standard_normal(64))
+    cone = math.sqrt(0.9) * c + math.sqrt(0.1) * side(6000, c)  # cosine of about 0.9 to each other
+    for k in range(100):  # planted pairs: a cone vector turned to cosine 0.952
+        x = cone[k]
+        cone[5999 - k] = 0.952 * x + math.sqrt(1 - 0.952**2) * side(1, x)[0]
+    rows = np.concatenate((cone, unit(rng.standard_normal((4000, 64)))))
+    links = rows @ rows.T >= 0.95
+    own = np.arange(len(rows))
+    while (new := np.where(links, own[None, :], len(rows)).min(axis=1)).tolist() != own.tolist():
+        own = new
+    frame = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)], "vec_id long, embedding array<double>")
+    got = near_vectors(frame, parameters=PassParameters(direct=direct, direct_block=1000)).collect()
+    wrong = [r.vec_id for r in got if (r.n_links, r.component_id) != (links[r.vec_id].sum() - 1, own[r.vec_id])]
+    assert len(got) == len(rows) and not wrong, len(wrong)
+
+
 def cheapest(roles, c=RepairCosts()):
     """All ways, by exhaustive search."""
     legal = {"": ("system", "user"), "system": ("user",), "user": ("assistant",), "assistant": ("user",)}
