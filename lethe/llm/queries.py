@@ -267,7 +267,7 @@ ORACLE = {
             WHERE c.id IS NOT NULL
             GROUP BY item_id, doc, c.id
         )
-        SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank,
+        SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank,
                doc_id, score
         FROM scored WHERE score > 0
         QUALIFY rank <= 10
