@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import warnings
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
 
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lethe.config import KeyPath, MaskingRule
 from lethe.operators.parallel import in_parallel
+from lethe.operators.positions import Reached, mark_name, parts_of_frame, reached_rows
 from lethe.operators.purge import union_all
 from lethe.operators.reach import Reacher, eligible, guarded_match, match_column
 from lethe.operators.sizing import keyed_join, matched_counts
@@ -184,21 +186,42 @@ def mask_apply(
     is itself a join key hides nothing from later steps.  Each step is one
     projection whose expressions all see the row as the step found it.
     """
-    reacher.prepare([s.path for s in steps])
-    columns = target.columns
-    types = {f.name: f.dataType for f in target.schema.fields}
-    marks: dict[KeyPath, str] = {}
+    paths = list(dict.fromkeys(s.path for s in steps))
+    reacher.prepare(paths)
+    parts_of = parts_of_frame(target)
+    if parts_of and not all(reacher.values(p).broadcastable() for p in paths):
+        # too many values to broadcast: find positions first, so that rows do not move
+        reached = reached_rows(parts_of, paths, reacher)
+        if not reached.files:
+            return target
+        rest = target.where(~F.col("_metadata.file_path").isin(list(reached.files)))
+        return union_all([rest, *masked_files(reached, steps, parameters)])
     marked = target
+    for number, path in enumerate(paths):
+        match = guarded_match(path, reacher.as_of)
+        marked = keyed_join(marked, match, reacher.values(path), "left")
+        marked = marked.withColumn(mark_name(number), F.col("chunk_no").isNotNull())
+        marked = marked.drop("chunk_no")
+    return _masked(marked, steps, paths, parameters).select(*target.columns)
+
+
+def masked_files(
+    reached: Reached, steps: list[MaskStep], parameters: dict[str, str] | None = None
+) -> Iterator[DataFrame]:
+    """The files that hold reached rows, masked, slice by slice."""
+    marks = {reached.mark(p): F.col(reached.mark(p)).isNotNull() for p in reached.paths}
+    for marked in reached.with_marks(marks):
+        yield _masked(marked, steps, reached.paths, parameters).drop(*marks)
+
+
+def _masked(
+    marked: DataFrame, steps: list[MaskStep], paths: list[KeyPath],
+    parameters: dict[str, str] | None,
+) -> DataFrame:
+    """Steps applied in turn to rows that carry a mark per path."""
+    types = {f.name: f.dataType for f in marked.schema.fields}
     for step in steps:
-        if step.path in marks:
-            continue
-        mark = f"_hit{len(marks)}"
-        values = reacher.values(step.path)
-        marked = keyed_join(marked, guarded_match(step.path, reacher.as_of), values, "left")
-        marked = marked.withColumnRenamed("chunk_no", mark)
-        marks[step.path] = mark
-    for step in steps:
-        hit = F.col(marks[step.path]).isNotNull()
+        hit = F.col(mark_name(paths.index(step.path)))
         masks = {
             r.column_name: F.when(
                 hit,
@@ -207,7 +230,37 @@ def mask_apply(
             for r in step.rules
         }
         marked = marked.withColumns(masks)
-    return marked.select(*columns)
+    return marked
+
+
+def reached_mask_audit(
+    steps: list[MaskStep], reached: Reached, chunks: DataFrame
+) -> DataFrame:
+    """Masked rows per chunk and step of one table, from the positions found before."""
+    marks = F.array(
+        *[F.struct(F.lit(i).alias("step"), F.col(reached.mark(s.path)).alias("chunk_number"))
+          for i, s in enumerate(steps)]
+    )
+    counted = (
+        reached.rows.select(F.inline(marks))
+        .groupBy("step", "chunk_number")
+        .agg(F.count(F.lit(1)).alias("row_count"))
+    )
+    described = F.array(
+        *[F.struct(F.lit(i).alias("step"), F.lit(s.rules[0].group_code).alias("group_code"),
+                   F.lit(s.target_table).alias("target_table"),
+                   F.lit(s.columns_masked).alias("columns_masked"),
+                   F.lit(s.execution_order).alias("execution_order"))
+          for i, s in enumerate(steps)]
+    )
+    return (
+        chunks.select("chunk_number", F.inline(described))
+        .join(counted, ["step", "chunk_number"], "left")
+        .select(
+            "group_code", "target_table", "columns_masked", "execution_order",
+            F.coalesce("row_count", F.lit(0)).alias("masked_row_count"), "chunk_number",
+        )
+    )
 
 
 def mask_audit(steps: list[MaskStep], reacher: Reacher) -> DataFrame:

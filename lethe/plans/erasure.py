@@ -14,15 +14,10 @@ from lethe.operators import reports
 from lethe.operators.configtables import replace_scope
 from lethe.operators.numbering import assign_chunks
 from lethe.operators.parallel import in_parallel
-from lethe.operators.purge import (
-    by_table,
-    estimate_delete,
-    purge_audit,
-    survivors,
-    union_all,
-)
-from lethe.operators.reach import Reacher, eligible, match_column
-from lethe.operators.sizing import Measured, durable, keyed_join, sized_groups
+from lethe.operators.positions import Reached, reached_rows
+from lethe.operators.purge import by_table, estimate_delete, reached_audit, union_all
+from lethe.operators.reach import Reacher
+from lethe.operators.sizing import Measured, durable, sized_groups
 from lethe.operators.tasks import (
     RUNNABLE,
     TASK_SCHEMA,
@@ -99,7 +94,7 @@ def replace_batch(change, name: str, frame: DataFrame, batch_id: str) -> None:
     if name not in change.tables:
         change.append(name, frame, ("batch_id",))
         return
-    change.rewrite_touched(name, frame, [(batch_id,)])
+    change.replace_partitions(name, F.col("batch_id") == batch_id, frame)
 
 
 def run_deletion_dry_run(
@@ -165,23 +160,6 @@ def chunked_keys(tasks: DataFrame, config, scope: list[str]) -> dict[str, Measur
     )
 
 
-def touched_partitions(
-    paths: list[KeyPath], name: str, reacher: Reacher, partition_by: list[str]
-) -> list[tuple]:
-    """Partitions of a table in which the paths reach rows.
-
-    At most as many as the table has partition directories, which the pointer
-    lists anyway.
-    """
-    parts = []
-    for path in paths:
-        target = eligible(reacher.tables[name], path, reacher.as_of)
-        narrow = target.select(*partition_by, match_column(path).alias("_key"))
-        hits = keyed_join(narrow, F.col("_key"), reacher.values(path), "left_semi")
-        parts.append(hits.select(*partition_by).distinct())
-    return [tuple(row) for row in union_all(parts).distinct().collect()]
-
-
 def run_deletion(
     store: SnapshotStore, config: DeletionConfig, batch_id: str,
     group_code: str | None = None, up_to_order: int | None = None, as_of: str | None = None,
@@ -232,36 +210,28 @@ def _purge_group(
 ) -> None:
     started = now()
     reacher.prepare([r.path for r in rules])
+    chunks = reacher.keys.select("chunk_no").distinct()
+
+    def rewrite(name: str, members: list[DeletionRule]) -> DataFrame:
+        reached = reached_in(change, name, [r.path for r in members], reacher)
+        if reached.files:  # if no row is reached, the table stays as it is
+            change.replace_files(name, list(reached.files), reached.without())
+            reached.release()
+        return reached_audit(members, reached, chunks)
 
-    def rewrite(name: str, members: list[DeletionRule]) -> None:
-        if not _reached(members, name, reacher):
-            return
-        kept = survivors(members, reacher)
-        partition_by = change.tables[name].partition_by
-        if partition_by:
-            paths = [r.path for r in members]
-            touched = touched_partitions(paths, name, reacher, partition_by)
-            shuffled = not all(reacher.values(p).broadcastable() for p in paths)
-            change.rewrite_touched(name, kept, touched, shuffled)
-        else:
-            change.overwrite(name, kept)
-
-    in_parallel(partial(rewrite, n, members) for n, members in by_table(rules).items())
-    entries = purge_audit(rules, reacher).withColumns(
+    parts = in_parallel(partial(rewrite, n, members) for n, members in by_table(rules).items())
+    entries = union_all(parts).withColumns(
         {"batch_id": F.lit(batch_id), "started_at": started, "executed_at": now()}
     )
     change.append(AUDIT, conform(entries, AUDIT_SCHEMA), ("batch_id",))
 
 
-def _reached(members: list[DeletionRule], name: str, reacher: Reacher) -> bool:
-    """Is any row of the table reached?  If not, it stays as it is."""
-    for rule in members:
-        target = eligible(reacher.tables[name], rule.path, reacher.as_of)
-        narrow = target.select(match_column(rule.path).alias("_key"))
-        hits = keyed_join(narrow, F.col("_key"), reacher.values(rule.path), "left_semi")
-        if not hits.isEmpty():
-            return True
-    return False
+def reached_in(
+    change: Transaction, name: str, paths: list[KeyPath], reacher: Reacher
+) -> Reached:
+    """Positions of a stored table's rows that the paths reach."""
+    state = change.store.tables(change.number - 1)[name]
+    return reached_rows(lambda files: change.store.parts(state, files), paths, reacher)
 
 
 def certificate(store: SnapshotStore, batch_id: str) -> DataFrame:

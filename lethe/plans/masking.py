@@ -13,10 +13,10 @@ from lethe.operators.configtables import replace_scope
 from lethe.operators.masking import (
     PREVIEW_SCHEMA,
     estimate_mask,
-    mask_apply,
-    mask_audit,
     mask_preview,
     mask_steps,
+    masked_files,
+    reached_mask_audit,
 )
 from lethe.operators.parallel import in_parallel
 from lethe.operators.purge import union_all
@@ -152,33 +152,24 @@ def _mask_group(
 ) -> None:
     steps = mask_steps(rules)
     reacher.prepare([s.path for s in steps])  # all hits before any table changes
-    chunks = reacher.keys.agg(F.max("chunk_no")).first()[0]
-    durations = {}
+    chunks = reacher.keys.select(F.col("chunk_no").alias("chunk_number")).distinct()
+    last = reacher.keys.agg(F.max("chunk_no")).first()[0]
 
-    def rewrite(name: str) -> None:
+    def rewrite(name: str) -> DataFrame:
         began = time.monotonic()
         own = [s for s in steps if s.target_table == name]
-        masked = mask_apply(reacher.tables[name], own, reacher, parameters)
-        partition_by = change.tables[name].partition_by
-        if partition_by and not {r.column_name for s in own for r in s.rules} & set(partition_by):
-            paths = [s.path for s in own]
-            touched = erasure.touched_partitions(paths, name, reacher, partition_by)
-            shuffled = not all(reacher.values(p).broadcastable() for p in paths)
-            change.rewrite_touched(name, masked, touched, shuffled)
-        else:
-            change.overwrite(name, masked, tuple(partition_by))
+        reached = erasure.reached_in(change, name, [s.path for s in own], reacher)
+        if reached.files:  # a table in which nothing is reached stays as it is
+            change.replace_files(name, list(reached.files), masked_files(reached, own, parameters))
+            reached.release()
         # each table is timed on its own; its chunks are masked in one go
-        durations[name] = (time.monotonic() - began) / len(own) / chunks
+        seconds = (time.monotonic() - began) / len(own) / last
+        return reached_mask_audit(own, reached, chunks).withColumn("duration_sec", F.lit(seconds))
 
     names = dict.fromkeys(s.target_table for s in steps)
-    in_parallel(partial(rewrite, name) for name in names)
-    seconds = F.create_map(*[F.lit(x) for pair in durations.items() for x in pair])
-    entries = mask_audit(steps, reacher).withColumns(
-        {
-            "batch_id": F.lit(batch_id),
-            "duration_sec": seconds[F.col("target_table")],
-            "processed_at": now(),
-        }
+    parts = in_parallel(partial(rewrite, name) for name in names)
+    entries = union_all(parts).withColumns(
+        {"batch_id": F.lit(batch_id), "processed_at": now()}
     )
     change.append(AUDIT, conform(entries, AUDIT_SCHEMA), ("batch_id",))
 
@@ -194,5 +185,5 @@ def drop_previews(store: SnapshotStore, before) -> None:
     batches = [r.batch_id for r in summary.where(old).select("batch_id").distinct().collect()]
     empty = F.when(old, F.array().cast(PREVIEW_SCHEMA)).otherwise(F.col("sample_preview"))
     with store.begin() as change:
-        kept = summary.withColumn("sample_preview", empty)
-        change.rewrite_touched(SUMMARY, kept, [(b,) for b in batches])
+        kept = summary.where(F.col("batch_id").isin(batches)).withColumn("sample_preview", empty)
+        change.replace_partitions(SUMMARY, F.col("batch_id").isin(batches), kept)
