@@ -11,6 +11,7 @@ from lethe.config import DeletionRule
 from lethe.operators.positions import Reached, parts_of_frame, reached_rows
 from lethe.operators.reach import Reacher, eligible, guarded_match, match_column
 from lethe.operators.sizing import keyed_join, matched_counts
+from lethe.operators.tally import tallied_audit, tallied_estimates
 
 
 def _rule_columns(rule: DeletionRule) -> list[Column]:
@@ -33,43 +34,9 @@ def doomed_counts(rule: DeletionRule, reacher: Reacher) -> DataFrame:
 
 
 def estimate_delete(rules: list[DeletionRule], reacher: Reacher) -> DataFrame:
-    """Rows to delete per rule, bottom-up; a rule that reaches nothing counts 0."""
+    """Rows to delete per rule; a rule that reaches nothing counts 0."""
     reacher.prepare([r.path for r in rules])
-    return union_all(
-        [
-            doomed_counts(rule, reacher)
-            .agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("estimated_rows_to_delete"))
-            .select(*_rule_columns(rule), "estimated_rows_to_delete")
-            for rule in rules
-        ]
-    )
-
-
-def _attributed(rules: list[DeletionRule], reacher: Reacher) -> DataFrame:
-    """(execution_order, chunk_no, row_count) of several rules on one table.
-
-    A row several rules reach is deleted once: by the earliest chunk, and in it
-    by the lowest order.
-    """
-    marked = reacher.tables[rules[0].target_table]
-    claims = []
-    for rule in rules:
-        claim = f"_claim{rule.execution_order}"
-        match = guarded_match(rule.path, reacher.as_of)
-        marked = keyed_join(marked, match, reacher.values(rule.path), "left")
-        marked = marked.withColumnRenamed("chunk_no", claim)
-        order = F.lit(rule.execution_order).alias("execution_order")
-        claims.append(
-            F.when(
-                F.col(claim).isNotNull(), F.struct(F.col(claim).alias("chunk_no"), order)
-            )
-        )
-    return (
-        marked.select(F.array_min(F.array_compact(F.array(*claims))).alias("by"))
-        .where("by is not null")
-        .groupBy("by.execution_order", "by.chunk_no")
-        .agg(F.count(F.lit(1)).alias("row_count"))
-    )
+    return tallied_estimates([(r, reacher) for r in rules])
 
 
 def survivors(rules: list[DeletionRule], reacher: Reacher) -> DataFrame:
@@ -129,23 +96,10 @@ def reached_audit(
 
 
 def purge_audit(rules: list[DeletionRule], reacher: Reacher) -> DataFrame:
-    """Deleted rows per chunk and rule, zeros included."""
+    """Deleted rows per chunk and rule, zeros included.
+
+    A row several rules reach is deleted once: by the earliest chunk, and in it by
+    the lowest order.
+    """
     reacher.prepare([r.path for r in rules])
-    chunks = reacher.keys.select("chunk_no").distinct()
-    parts = []
-    for members in by_table(rules).values():
-        shared = _attributed(members, reacher) if len(members) > 1 else None
-        for rule in members:
-            if shared is None:
-                counts = doomed_counts(rule, reacher)
-            else:
-                own = F.col("execution_order") == rule.execution_order
-                counts = shared.where(own).drop("execution_order")
-            parts.append(
-                chunks.join(counts, "chunk_no", "left").select(
-                    *_rule_columns(rule),
-                    "chunk_no",
-                    F.coalesce("row_count", F.lit(0)).alias("deleted_row_count"),
-                )
-            )
-    return union_all(parts)
+    return tallied_audit([(r, reacher) for r in rules])

@@ -15,9 +15,10 @@ from lethe.operators.configtables import replace_scope
 from lethe.operators.numbering import assign_chunks
 from lethe.operators.parallel import in_parallel
 from lethe.operators.positions import Reached, reached_rows
-from lethe.operators.purge import by_table, estimate_delete, reached_audit, union_all
+from lethe.operators.purge import by_table, reached_audit, union_all
 from lethe.operators.reach import Reacher
 from lethe.operators.sizing import Measured, durable, sized_groups
+from lethe.operators.tally import Claim, tallied_estimates
 from lethe.operators.tasks import (
     RUNNABLE,
     TASK_SCHEMA,
@@ -123,10 +124,8 @@ def run_deletion_dry_run(
 
     sized = dry_run_keys(tasks, scope)
 
-    def estimate(code: str) -> DataFrame:
-        return estimate_delete(config.rules_of(code), Reacher.over(sized[code], tables, as_of))
-
-    parts = union_all(in_parallel(partial(estimate, code) for code in scope))
+    reachers = {code: Reacher.over(sized[code], tables, as_of) for code in scope}
+    parts = tallied_estimates(prepared_claims(config, reachers))
     estimates = conform(
         parts.withColumn("batch_id", F.lit(batch_id)).withColumn("executed_at", now()),
         SUMMARY_SCHEMA,
@@ -141,6 +140,18 @@ def run_deletion_dry_run(
     return len(scope)
 
 
+def prepared_claims(config: DeletionConfig, reachers: dict[str, Reacher]) -> list[Claim]:
+    """The rules of all groups with the values their keys reach, computed side by side."""
+
+    def prepare(code: str) -> list[Claim]:
+        rules = config.rules_of(code)
+        reachers[code].prepare([r.path for r in rules])
+        return [(r, reachers[code]) for r in rules]
+
+    found = in_parallel(partial(prepare, code) for code in reachers)
+    return [claim for claims in found for claim in claims]
+
+
 def dry_run_keys(tasks: DataFrame, scope: list[str]) -> dict[str, Measured]:
     """Validated keys of each group, all in one chunk."""
     keys = tasks.where(F.col("status") == VALIDATED).select(

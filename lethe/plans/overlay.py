@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property, partial
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,16 +20,10 @@ from lethe.config import (
     small_frame,
 )
 from lethe.operators.numbering import assign_chunks
-from lethe.operators.parallel import in_parallel
-from lethe.operators.purge import (
-    by_table,
-    estimate_delete,
-    purge_audit,
-    survivors,
-    union_all,
-)
+from lethe.operators.purge import by_table, survivors
 from lethe.operators.reach import Reacher
 from lethe.operators.sizing import Measured, durable, sized_groups
+from lethe.operators.tally import Claim, tallied_audit, tallied_estimates
 from lethe.operators.tasks import (
     COMPLETED,
     FAILED,
@@ -38,6 +32,7 @@ from lethe.operators.tasks import (
     validate_first,
     validate_root,
 )
+from lethe.plans.erasure import prepared_claims
 from lethe.session import prepare
 from lethe.sources.keyfile import keys_of, new_items
 
@@ -306,18 +301,17 @@ class Overlay:
 
     @cached_property
     def summary(self) -> DataFrame:
-        self.reachers  # computed once, before the groups ask for it
-        parts = in_parallel(
-            partial(lambda code: estimate_delete(DELETION.rules_of(code), self.reacher(code)), c)
-            for c in sorted(self.group_codes)
-        )
+        estimates = tallied_estimates(self.claims(tuple(sorted(self.group_codes))))
         return durable(
-            union_all(parts).select(
+            estimates.select(
                 F.lit(BATCH).alias("batch_id"), "*",
                 F.lit(INGESTED_AT).cast("timestamp").alias("executed_at"),
             )
         )
 
+    def claims(self, codes: tuple[str, ...]) -> list[Claim]:
+        return prepared_claims(DELETION, {c: self.reacher(c) for c in codes})
+
     @cached_property
     def audit(self) -> DataFrame:
         """Audit of the groups that ran, with a fixed clock."""
@@ -330,13 +324,7 @@ class Overlay:
         )
 
     def audit_of(self, codes: tuple[str, ...]) -> DataFrame:
-        self.reachers  # computed once, before the groups ask for it
-        return union_all(
-            in_parallel(
-                partial(lambda code: purge_audit(DELETION.rules_of(code), self.reacher(code)), c)
-                for c in codes
-            )
-        )
+        return tallied_audit(self.claims(codes))
 
     @cached_property
     def finished(self) -> DataFrame:
