@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from lethe.config import DeletionConfig, MaskingConfig, MaskingRule, Relation
 from lethe.operators.masking import bind_parameters
+from lethe.operators.maskpass import MaskClaim, masked_pairs, per_rule
 from lethe.operators.purge import union_all
-from lethe.operators.reach import Reacher, guarded_match, match_column, eligible
-from lethe.operators.sizing import keyed_join
+from lethe.operators.reach import Reacher, guarded_match
+from lethe.operators.sizing import VALUE, Measured, keyed_join, measured
 
 SHORT_COLUMN = 20  # declared lengths below this deserve a look for fn_mask_ output
 
@@ -67,67 +68,42 @@ def column_status(
     return found
 
 
-def masked_hits(rule: MaskingRule, reacher: Reacher, parameters=None) -> DataFrame:
-    """(before, after) of every row the rule reaches."""
-    target = eligible(reacher.tables[rule.target_table], rule.path, reacher.as_of)
-    pairs = target.select(
-        match_column(rule.path).alias("_key"),
-        F.col(rule.column_name).cast("string").alias("before"),
-        bind_parameters(rule.mask_expression, parameters).cast("string").alias("after"),
-    )
-    hits = keyed_join(pairs, F.col("_key"), reacher.values(rule.path), "left_semi")
-    return hits.select("before", "after")
-
-
-def _per_rule(rules: list[MaskingRule], measure) -> DataFrame:
-    return union_all(
-        [
-            measure(rule).select(
-                F.lit(rule.group_code).alias("group_code"),
-                F.lit(rule.target_table).alias("target_table"),
-                F.lit(rule.column_name).alias("column_name"),
-                "*",
-            )
-            for rule in rules
-        ]
-    )
-
-
 def mask_lengths(
-    rules: list[MaskingRule], reacher: Reacher, limits: dict[str, int], parameters=None
+    claims: list[MaskClaim], limits: dict[str, int], parameters=None
 ) -> DataFrame:
     """Longest masked value per rule against the declared length of its column."""
-
-    def measure(rule: MaskingRule) -> DataFrame:
-        limit = F.lit(limits.get(rule.column_name)).cast("int")
-        longest = F.max(F.length("after"))
-        return masked_hits(rule, reacher, parameters).agg(
-            limit.alias("declared_length"),
-            longest.alias("longest_mask"),
-            F.coalesce(longest > limit, F.lit(False)).alias("too_long"),
-        )
-
-    return _per_rule(rules, measure)
+    pairs = _pairs(claims, parameters)
+    found = per_rule(claims, pairs, {"longest_mask": F.max(F.length("after"))})
+    declared = {c: n for c, n in limits.items() if n is not None}
+    limit = F.lit(None).cast("int")
+    for column, length in declared.items():
+        limit = F.when(F.col("column_name") == column, F.lit(length)).otherwise(limit)
+    return found.withColumn("declared_length", limit).withColumn(
+        "too_long", F.coalesce(F.col("longest_mask") > F.col("declared_length"), F.lit(False))
+    )
 
 
-def unmasked_leaks(rules: list[MaskingRule], reacher: Reacher, parameters=None) -> DataFrame:
+def unmasked_leaks(claims: list[MaskClaim], parameters=None) -> DataFrame:
     """Per rule: reached values the mask leaves as they are, or whose digits it shows."""
 
     def digits(text: Column) -> Column:
         return F.regexp_replace(text, "[^0-9]", "")
 
-    def measure(rule: MaskingRule) -> DataFrame:
-        same = F.col("before") == F.col("after")
-        shown = (digits(F.col("before")) != "") & F.contains(
-            digits(F.col("after")), digits(F.col("before"))
-        )
-        return masked_hits(rule, reacher, parameters).agg(
-            F.count("before").alias("checked_values"),
-            F.count(F.when(same, 1)).alias("unchanged_values"),
-            F.count(F.when(shown, 1)).alias("digits_shown"),
-        )
+    same = F.col("before") == F.col("after")
+    shown = (digits(F.col("before")) != "") & F.contains(
+        digits(F.col("after")), digits(F.col("before"))
+    )
+    numbers = {
+        "checked_values": F.count("before"),
+        "unchanged_values": F.count(F.when(same, 1)),
+        "digits_shown": F.count(F.when(shown, 1)),
+    }
+    return per_rule(claims, _pairs(claims, parameters), numbers).na.fill(0, list(numbers))
+
 
-    return _per_rule(rules, measure)
+def _pairs(claims: list[MaskClaim], parameters) -> DataFrame:
+    """All reached rows' pairs, one scan per table."""
+    return masked_pairs(claims, lambda rule: bind_parameters(rule.mask_expression, parameters))
 
 
 def referenced_columns(rules: DataFrame, relations: DataFrame) -> DataFrame:
@@ -169,30 +145,59 @@ def orphans(relation: Relation, tables: dict[str, DataFrame]) -> DataFrame:
 def cascade_scope(
     config: DeletionConfig, group_code: str, relations: list[Relation], reacher: Reacher
 ) -> DataFrame:
-    """Children of a group's tables that no rule of the group purges.
+    """Children, grandchildren, ... of a group's tables that no rule of the group purges.
 
-    With the number of child rows whose parent the group would purge: they would
-    go along under a cascade, or be orphaned without one.
+    With the number of their rows that refer to a row that would go, by a rule or along
+    the declared relations: under a cascade they would go along, without one they would
+    be orphaned.  A round follows only the references that the round before added, so
+    relations may form cycles.
     """
     rules = config.rules_of(group_code)
-    purged = {r.target_table: r for r in rules}
+    reacher.prepare([r.path for r in rules])
+    purged: dict[str, list] = {}
+    for rule in rules:
+        purged.setdefault(rule.target_table, []).append(rule)
+    outside = [r for r in relations if r.child_table not in purged]
+    # referenced column of a table -> its values in rows that would go
+    known: dict[tuple[str, str], Measured] = {}
+    new: dict[tuple[str, str], Measured] = {}
+    for place in dict.fromkeys((r.parent_table, r.parent_col) for r in outside):
+        if place[0] in purged:
+            new[place] = known[place] = measured(_doomed_values(purged[place[0]], place[1], reacher))
+    while new:
+        grown: dict[tuple[str, str], list[DataFrame]] = {}
+        for relation in outside:
+            added = new.get((relation.parent_table, relation.parent_col))
+            if added is None or not added.rows:
+                continue
+            child = reacher.tables[relation.child_table]
+            for place in known.keys() | {(r.parent_table, r.parent_col) for r in outside}:
+                if place[0] == relation.child_table:
+                    gone = child.select(F.col(relation.child_col).alias("_ref"), F.col(place[1]).alias("_to"))
+                    gone = keyed_join(gone, F.col("_ref"), added, "left_semi")
+                    found = gone.where("_to is not null").select(F.col("_to").alias(VALUE)).distinct()
+                    grown.setdefault(place, []).append(found)
+        new = {}
+        for place, parts in grown.items():
+            fresh = union_all(parts).distinct()
+            if place in known:
+                fresh = keyed_join(fresh.withColumn("_to", F.col(VALUE)), F.col("_to"), known[place], "left_anti")
+                fresh = fresh.select(F.col("_to").alias(VALUE))
+            fresh = measured(fresh)
+            if fresh.rows:
+                new[place] = fresh
+                every = [known[place].frame] if place in known else []
+                known[place] = measured(union_all([*every, fresh.frame]))
     parts = []
-    for relation in relations:
-        rule = purged.get(relation.parent_table)
-        if rule is None or relation.child_table in purged:
+    for relation in outside:
+        doomed = known.get((relation.parent_table, relation.parent_col))
+        if doomed is None:
             continue
-        parent = reacher.tables[relation.parent_table]
-        doomed = keyed_join(
-            parent.select(match_of(rule, reacher).alias("_key"), relation.parent_col),
-            F.col("_key"), reacher.values(rule.path), "left_semi",
-        ).select(F.col(relation.parent_col).alias("_ref"))
-        refs = (
-            reacher.tables[relation.child_table]
-            .groupBy(F.col(relation.child_col).alias("_ref"))
-            .agg(F.count(F.lit(1)).alias("_n"))
-        )
+        child = reacher.tables[relation.child_table].select(F.col(relation.child_col).alias("_ref"))
+        # counted per reference first, so a hot one travels as one row
+        refs = child.where("_ref is not null").groupBy("_ref").agg(F.count(F.lit(1)).alias("_n"))
         parts.append(
-            refs.join(doomed, "_ref", "left_semi").agg(
+            keyed_join(refs, F.col("_ref"), doomed, "left_semi").agg(
                 F.lit(group_code).alias("group_code"),
                 F.lit(relation.parent_table).alias("parent_table"),
                 F.lit(relation.child_table).alias("child_table"),
@@ -203,6 +208,18 @@ def cascade_scope(
     return union_all(parts)
 
 
+def _doomed_values(rules: list, column: str, reacher: Reacher) -> DataFrame:
+    """Values of a column in the rows of a table that its rules reach."""
+    parts = []
+    for rule in rules:
+        rows = reacher.tables[rule.target_table].select(
+            match_of(rule, reacher).alias("_key"), F.col(column).alias("_to")
+        )
+        rows = keyed_join(rows, F.col("_key"), reacher.values(rule.path), "left_semi")
+        parts.append(rows.where("_to is not null").select(F.col("_to").alias(VALUE)))
+    return union_all(parts).distinct()
+
+
 def match_of(rule, reacher: Reacher) -> Column:
     return guarded_match(rule.path, reacher.as_of)
 

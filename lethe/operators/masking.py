@@ -13,6 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lethe.config import KeyPath, MaskingRule
+from lethe.operators.maskpass import (
+    NO,
+    MaskClaim,
+    claimed_rules,
+    masked_pairs,
+    smallest_samples,
+)
 from lethe.operators.parallel import in_parallel
 from lethe.operators.positions import Reached, mark_name, parts_of_frame, reached_rows
 from lethe.operators.purge import union_all
@@ -115,23 +122,17 @@ def estimate_mask(rules: list[MaskingRule], reacher: Reacher) -> DataFrame:
     return union_all(parts)
 
 
-def preview_rows(
-    rule: MaskingRule, reacher: Reacher, parameters: dict[str, str] | None = None
+def preview_samples(
+    claims: list[MaskClaim], parameters: dict[str, str] | None = None
 ) -> DataFrame:
-    """Up to five (before, after) pairs of reached rows with a value.
+    """(group_code, target_table, column_name, sample_index, before, after) of several rules.
 
-    Ordered by join value and text, so a preview can be repeated.  The top rows
-    are found per partition first; nothing is sorted as a whole.
+    Up to five reached rows with a value per rule, by join value and text, so a preview
+    can be repeated.  One scan per table.
     """
-    target = eligible(reacher.tables[rule.target_table], rule.path, reacher.as_of)
-    match = match_column(rule.path)
-    pairs = target.where(F.col(rule.column_name).isNotNull()).select(
-        match.alias("_key"),
-        F.col(rule.column_name).cast("string").alias("before"),
-        bind_parameters(rule.mask_expression, parameters).cast("string").alias("after"),
-    )
-    hits = keyed_join(pairs, F.col("_key"), reacher.values(rule.path), "left_semi")
-    return hits.orderBy("_key", "before", "after").limit(PREVIEW_ROWS)
+    pairs = masked_pairs(claims, lambda rule: bind_parameters(rule.mask_expression, parameters))
+    samples = smallest_samples(pairs, PREVIEW_ROWS)
+    return samples.join(F.broadcast(claimed_rules(claims)), NO).drop(NO)
 
 
 def mask_preview(
@@ -139,27 +140,37 @@ def mask_preview(
 ) -> DataFrame:
     """(group_code, target_table, column_name, sample_preview) per rule.
 
-    Every rule is tried on its own: one whose expression cannot be analysed or
-    fails on the data gives a warning and an empty preview.
+    A rule whose expression cannot be analysed or fails on the data gives a warning and
+    an empty preview.  All rules are tried together; only if that fails is each tried on
+    its own.
     """
-    spark = reacher.keys.sparkSession
     reacher.prepare([r.path for r in rules])
 
-    def sample(rule: MaskingRule) -> tuple:
+    def attempt(some: list[MaskingRule]) -> list:
+        # at most PREVIEW_ROWS rows a rule come back
+        found = preview_samples([(r, reacher) for r in some], parameters)
+        return found.orderBy("sample_index").collect()
+
+    def alone(rule: MaskingRule) -> list:
         try:
-            # at most PREVIEW_ROWS rows come back
-            found = preview_rows(rule, reacher, parameters).select("before", "after").collect()
+            return attempt([rule])
         except (PySparkException, ValueError) as failure:
             warnings.warn(
                 f"no preview for {rule.target_table}.{rule.column_name}: {failure}", stacklevel=2
             )
-            found = []
-        pairs = [(r["before"], r["after"]) for r in found]
-        return rule.group_code, rule.target_table, rule.column_name, pairs
-
-    rows = in_parallel(partial(sample, rule) for rule in rules)
-    return spark.createDataFrame(
-        rows,
+            return []
+
+    try:
+        found = attempt(rules)
+    except (PySparkException, ValueError):
+        found = [row for rows in in_parallel(partial(alone, rule) for rule in rules) for row in rows]
+    pairs: dict[tuple, list] = {(r.group_code, r.target_table, r.column_name): [] for r in rules}
+    for row in found:
+        pairs[row["group_code"], row["target_table"], row["column_name"]].append(
+            (row["before"], row["after"])
+        )
+    return reacher.keys.sparkSession.createDataFrame(
+        [(*key, samples) for key, samples in pairs.items()],
         "group_code string, target_table string, column_name string, "
         f"sample_preview {PREVIEW_SCHEMA}",
     )

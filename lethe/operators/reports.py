@@ -347,13 +347,60 @@ def audit_totals(audit: DataFrame, by: list[str], rows: str) -> DataFrame:
     return audit.groupBy(*by).agg(F.sum(rows).alias("total_rows"), F.count(F.lit(1)).alias("chunks"))
 
 
+BUCKETS = 4096  # fingerprints of a table
+
+
+def _with_bucket(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("_hash", F.xxhash64(*rows.columns)).withColumn(
+        "_bucket", F.pmod("_hash", F.lit(BUCKETS)).cast("int")
+    )
+
+
+def fingerprints(rows: DataFrame) -> DataFrame:
+    """Per bucket of rows a fingerprint that does not depend on their order.
+
+    Rows fall into buckets by their hash.  The number of rows, the sums of both halves
+    of their hashes, the exclusive or, and the sum of a second hash are aggregated where
+    the rows are; at most ``BUCKETS`` rows a task are shuffled.
+    """
+    second = F.hash(*rows.columns).cast("long")
+    low = F.col("_hash").bitwiseAND(F.lit(0xFFFFFFFF))
+    high = F.shiftrightunsigned("_hash", 32)
+    return (
+        _with_bucket(rows)
+        .withColumn("_second", second)
+        .groupBy("_bucket")
+        .agg(
+            F.count(F.lit(1)).alias("rows"), F.sum(low).alias("low"), F.sum(high).alias("high"),
+            F.bit_xor("_hash").alias("mixed"), F.sum("_second").alias("second"),
+        )
+    )
+
+
+def differing_buckets(before: DataFrame, after: DataFrame) -> list[int]:
+    """Buckets whose fingerprints differ; at most ``BUCKETS``."""
+    names = ("rows", "low", "high", "mixed", "second")
+    was = fingerprints(before).select("_bucket", F.struct(*names).alias("was"))
+    now = fingerprints(after).select("_bucket", F.struct(*names).alias("now"))
+    both = was.join(now, "_bucket", "full").where(~F.col("was").eqNullSafe(F.col("now")))
+    return [r["_bucket"] for r in both.select("_bucket").collect()]
+
+
 def untouched(before: DataFrame, after: DataFrame) -> DataFrame:
     """Rows of ``before`` (those outside the key file) missing from ``after``.
 
-    Both sides are counted per distinct row first; many copies of one row are
-    one count per task.
+    Fingerprints are compared first, and rows only in the buckets in which they differ:
+    there both sides are counted per distinct row, many copies of one row as one count
+    per task.
     """
     columns = before.columns
+    types = {f.name: f.dataType for f in before.schema.fields}
+    after = after.select(*[F.col(c).cast(types[c]).alias(c) for c in columns])
+    buckets = differing_buckets(before, after)
+    before, after = (
+        _with_bucket(f).where(F.col("_bucket").isin(buckets)).select(*columns)
+        for f in (before, after)
+    )
     was = before.groupBy(*columns).agg(F.count(F.lit(1)).alias("_was"), F.lit(0).alias("_is"))
     now = after.groupBy(*columns).agg(F.lit(0).alias("_was"), F.count(F.lit(1)).alias("_is"))
     return (

@@ -17,11 +17,11 @@ from lethe.operators.masking import (
     mask_audit,
     mask_preview,
     mask_steps,
-    preview_rows,
+    preview_samples,
     preview_unpack,
     rule_grouping,
 )
-from lethe.operators.purge import doomed_counts, estimate_delete, survivors, union_all
+from lethe.operators.purge import by_table, estimate_delete, survivors, union_all
 from lethe.operators.reach import Reacher, eligible, match_column
 from lethe.operators.sizing import durable, keyed_join
 from lethe.operators.tasks import (
@@ -189,11 +189,7 @@ AUDIT_COLUMNS = ["group_code", "target_table", "execution_order", "chunk_no", "d
 
 @query()
 def audit_append(o):
-    store = new_store(o, {t: () for t in ("customer", "orders", "lineitem", "events")})
-    config = only("CUST_EVENTS", "CUST_ORDERS")
-    erasure.ingest(store, o.raw_keys, BATCH)
-    erasure.run_deletion_dry_run(store, config, BATCH)
-    erasure.run_deletion(store, config, BATCH)  # one append per group
+    store = _full_run(o)  # one append per group
     return store.read(erasure.AUDIT).select("batch_id", *AUDIT_COLUMNS)
 
 
@@ -429,16 +425,7 @@ QUERIES["estimate_mask"] = lambda s, d: _mask_estimates(Overlay(s, d))
 
 
 def _previews(o: Overlay) -> DataFrame:
-    parts = []
-    for rule in MASKING.rules_of("CUST_PII"):
-        sample = preview_rows(rule, o.mask_reacher("CUST_PII"), PARAMETERS)
-        parts.append(
-            sample.select(
-                F.lit(rule.target_table).alias("target_table"),
-                F.lit(rule.column_name).alias("column_name"), "before", "after",
-            )
-        )
-    return union_all(parts)
+    return preview_samples(o.mask_claims(), PARAMETERS).drop("sample_index")
 
 
 QUERIES["mask_preview"] = lambda s, d: _previews(Overlay(s, d))
@@ -458,8 +445,11 @@ def mask_preview_failsoft(o):
 
 @query()
 def preview_unpack_rows(o):
-    made = mask_preview(MASKING.rules_of("CUST_PII"), o.mask_reacher("CUST_PII"), PARAMETERS)
-    return preview_unpack(made)
+    made = [
+        mask_preview(MASKING.rules_of(g.group_code), o.mask_reacher(g.group_code), PARAMETERS)
+        for g in MASKING.active_groups()
+    ]
+    return preview_unpack(union_all(made))
 
 
 QUERIES["preview_unpack"] = QUERIES.pop("preview_unpack_rows")
@@ -499,10 +489,17 @@ def purge_up_to_order(o):
 PURGED_TABLES = ("customer", "events", "lineitem", "nation", "orders", "supplier")
 
 
-def _full_run(o: Overlay) -> SnapshotStore:
-    store = new_store(o, {t: () for t in PURGED_TABLES})
+def _dry_store(o: Overlay) -> SnapshotStore:
+    """The tables adopted where they lie, keys taken in and the dry run done."""
+    store = SnapshotStore(o.spark, f"{work_folder(o)}/store")
+    store.adopt_all({t: f"{o.sf_dir}/{t}.parquet" for t in PURGED_TABLES})
     erasure.ingest(store, o.raw_keys, BATCH)
     erasure.run_deletion_dry_run(store, DELETION, BATCH, as_of=overlay.AS_OF)
+    return store
+
+
+def _full_run(o: Overlay) -> SnapshotStore:
+    store = _dry_store(o)
     erasure.run_deletion(store, DELETION, BATCH, as_of=overlay.AS_OF)
     return store
 
@@ -526,12 +523,9 @@ def task_complete(o):
 
 @query()
 def resume_batch(o):
-    store = new_store(o, {t: () for t in ("customer", "orders", "lineitem", "events")})
-    config = only("CUST_EVENTS", "CUST_ORDERS")
-    erasure.ingest(store, o.raw_keys, BATCH)
-    erasure.run_deletion_dry_run(store, config, BATCH)
-    erasure.run_deletion(store, config, BATCH, "CUST_ORDERS", up_to_order=2)
-    erasure.run_deletion(store, config, BATCH)  # takes up what is still open
+    store = _dry_store(o)
+    erasure.run_deletion(store, DELETION, BATCH, "CUST_ORDERS", up_to_order=2, as_of=overlay.AS_OF)
+    erasure.run_deletion(store, DELETION, BATCH, as_of=overlay.AS_OF)  # takes up what is still open
     return store.read(erasure.TASKS).select(*TASK)
 
 
@@ -605,7 +599,7 @@ def _masked(o: Overlay, group: str, table: str, max_order: int | None = None) ->
 
 
 def _mask_apply(o):
-    return _masked(o, "CUST_PII", "customer").drop("payload")
+    return _masked(o, "CUST_PII", "customer")
 
 
 QUERIES["mask_apply"] = lambda s, d: _mask_apply(Overlay(s, d))
@@ -652,9 +646,29 @@ def mask_max_order(o):
     )
 
 
+MASKED_TABLES = (
+    ("CUST_PII", "customer", "c_custkey"), ("CUST_PII", "orders", "o_orderkey"),
+    ("USER_ANON", "customer", "c_custkey"), ("USER_ANON", "events", "event_id"),
+)
+
+
 @query()
 def mask_multi_table(o):
-    return _masked(o, "CUST_PII", "orders").select("o_orderkey", "o_custkey", "contact", "note")
+    """Every masked column of every table of both groups, row by row."""
+    parts = []
+    for group, table, key in MASKED_TABLES:
+        columns = [r.column_name for r in MASKING.rules_of(group) if r.target_table == table]
+        cells = [
+            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("masked"))
+            for c in columns
+        ]
+        parts.append(
+            _masked(o, group, table).select(
+                F.lit(group).alias("group_code"), F.lit(table).alias("table_name"),
+                F.col(key).cast("bigint").alias("row_key"), F.inline(F.array(*cells)),
+            )
+        )
+    return union_all(parts)
 
 
 @query()
@@ -736,7 +750,15 @@ def _residual(o: Overlay) -> DataFrame:
     tables = o.tables.replaced(
         {
             "customer": o.purged("CUST_ORDERS")["customer"],
-            "events": o.purged("CUST_EVENTS")["events"],
+            "nation": o.purged("NATION_PURGE")["nation"],
+            # both groups of events ran
+            "events": survivors(
+                DELETION.rules_of("SESSIONS"),
+                Reacher.over(
+                    o.chunked_keys["SESSIONS"],
+                    o.tables.replaced({"events": o.purged("CUST_EVENTS")["events"]}),
+                ),
+            ),
         }
     )
     roots = {
@@ -767,15 +789,37 @@ report("rpt_mask_audit", lambda o: reports.mask_audit_summary(_timed_mask_audit(
 report("rpt_chunk_timeline", lambda o: reports.chunk_timeline(_timed_mask_audit(o)))
 
 
+def _all_masked(o: Overlay, table: str) -> DataFrame:
+    """A table after the runs of both groups."""
+    frame = o.pii_tables[table]
+    for group in MASKING.active_groups():
+        code = group.group_code
+        steps = [s for s in mask_steps(MASKING.rules_of(code)) if s.target_table == table]
+        if steps:
+            # hits are resolved on the tables as they were
+            frame = mask_apply(frame, steps, o.mask_reacher(code), PARAMETERS)
+    return frame
+
+
+#: masked tables, the column that leads to their subjects and the path keys take to it
+SUBJECTS = (
+    ("customer", "c_custkey", KeyPath("c_custkey", "bigint")),
+    ("orders", "o_custkey", KeyPath("o_custkey", "bigint")),
+    ("events", "user_id", KeyPath("user_id", "bigint")),
+)
+
+
 @query()
 def verify_untouched(o):
     """Rows outside the key file that masking changed (none), per table."""
     parts = []
-    for table, key in (("customer", "c_custkey"), ("orders", "o_custkey")):
-        values = o.mask_reacher("CUST_PII").values(KeyPath(key, "bigint"))
-        outside = keyed_join(o.pii_tables[table], F.col(key), values, "left_anti")
-        lost = reports.untouched(outside, _masked(o, "CUST_PII", table))
-        numbers = {"rows_checked": outside, "rows_changed": lost}
+    for table, key, path in SUBJECTS:
+        outside = [o.pii_tables[table], _all_masked(o, table)]
+        for group in MASKING.active_groups():
+            values = o.mask_reacher(group.group_code).values(path)
+            outside = [keyed_join(f, F.col(key), values, "left_anti") for f in outside]
+        lost = reports.untouched(*outside)
+        numbers = {"rows_checked": outside[0], "rows_changed": lost}
         counted = {n: f.agg(F.count(F.lit(1)).alias("n")) for n, f in numbers.items()}
         parts.append(
             reports.side_by_side(counted).select(F.lit(table).alias("table_name"), "*")
@@ -783,17 +827,25 @@ def verify_untouched(o):
     return union_all(parts)
 
 
-@query(groups=("CUST_ORDERS",))
+@query(groups=REPORT_GROUPS)
 def verify_row_count(o):
-    reacher, after = o.reacher("CUST_ORDERS"), o.purged("CUST_ORDERS")
-    return union_all(
-        [
-            reports.row_counts(
-                o.tables[r.target_table], after[r.target_table], doomed_counts(r, reacher)
-            ).select(F.lit(r.target_table).alias("table_name"), "*")
-            for r in DELETION.rules_of("CUST_ORDERS")
-        ]
-    )
+    """Rows before, removed and after, for every purged table of every group; masking keeps all."""
+    parts = []
+    audit = o.audit_of(REPORT_GROUPS).select(
+        "group_code", "target_table", F.col("deleted_row_count").alias("row_count")
+    )
+    audit = durable(audit.groupBy("group_code", "target_table").agg(F.sum("row_count").alias("row_count")))
+    for code in REPORT_GROUPS:
+        after = o.purged(code)
+        for table in by_table(DELETION.rules_of(code)):
+            removed = audit.where((F.col("group_code") == code) & (F.col("target_table") == table))
+            counts = reports.row_counts(o.tables[table], after[table], removed)
+            parts.append(counts.select(F.lit(code).alias("run"), F.lit(table).alias("table_name"), "*"))
+    for table, _, _ in SUBJECTS:
+        nothing = o.spark.range(1).select(F.lit(0).cast("bigint").alias("row_count"))
+        counts = reports.row_counts(o.pii_tables[table], _all_masked(o, table), nothing)
+        parts.append(counts.select(F.lit("MASKING").alias("run"), F.lit(table).alias("table_name"), "*"))
+    return union_all(parts)
 
 
 # -- checks -----------------------------------------------------------------------------
@@ -828,17 +880,13 @@ def chk_column_exists(o):
 
 @query()
 def chk_length(o):
-    limits = {"email": 30, "phone": 12, "citizen_id": 20, "full_name": 15}
-    return checks.mask_lengths(
-        MASKING.rules_of("CUST_PII", 1), o.mask_reacher("CUST_PII"), limits, PARAMETERS
-    )
+    limits = {"email": 30, "phone": 12, "citizen_id": 20, "full_name": 15, "note": 60, "actor": 16}
+    return checks.mask_lengths(o.mask_claims(), limits, PARAMETERS)
 
 
 @query()
 def chk_unmasked_leak(o):
-    return checks.unmasked_leaks(
-        MASKING.rules_of("CUST_PII"), o.mask_reacher("CUST_PII"), PARAMETERS
-    )
+    return checks.unmasked_leaks(o.mask_claims(), PARAMETERS)
 
 
 @query()
@@ -862,9 +910,10 @@ def chk_referenced_column(o):
 
 @query()
 def chk_cascade_scope(o):
+    """Rules for customers only: their orders, the lines of these and their events are left out."""
     config = DeletionConfig(
         [DELETION.group("CUST_ORDERS")],
-        [r for r in DELETION.rules_of("CUST_ORDERS") if r.target_table != "lineitem"],
+        [r for r in DELETION.rules_of("CUST_ORDERS") if r.target_table == "customer"],
     )
     return checks.cascade_scope(
         config, "CUST_ORDERS", overlay.RELATIONS, o.all_keys_reacher("CUST_ORDERS")
@@ -907,14 +956,16 @@ def chk_overlap_groups(o):
 
 @query()
 def stream_requests(o):
-    requests = o.raw_keys.where("key_type = 'CUSTOMER_ID'").withColumn(
+    requests = o.raw_keys.withColumn(
         "requested_at", F.lit(overlay.STARTED_AT).cast("timestamp")
     )
     folder = _written_csv(o, requests.coalesce(2))
-    store = new_store(o, {t: () for t in ("customer", "orders", "lineitem", "events")})
+    store = SnapshotStore(o.spark, f"{work_folder(o)}/store")
+    store.adopt_all({t: f"{o.sf_dir}/{t}.parquet" for t in PURGED_TABLES})
     stream = read_requests(o.spark, folder, files_per_trigger=1)
-    config = only("CUST_EVENTS", "CUST_ORDERS")
-    start_intake(store, config, stream, BATCH, f"{folder}-checkpoint").awaitTermination()
+    start_intake(
+        store, DELETION, stream, BATCH, f"{folder}-checkpoint", overlay.AS_OF
+    ).awaitTermination()
     return store.read(erasure.TASKS).select(*TASK)
 
 

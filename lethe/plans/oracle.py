@@ -171,6 +171,29 @@ _HITS = [
 ]
 
 
+# groups run in the order of their codes, each on what the ones before left
+_OURS = "(SELECT v FROM cust_keys)"
+_LEFT_ORDERS = f"""SELECT o_orderkey, k.chunk_no FROM orders
+    JOIN customer ON o_custkey = c_custkey AND o_custkey NOT IN {_OURS}
+    JOIN kv k ON k.group_code = 'NATION_PURGE' AND c_nationkey = k.v"""
+_GONE = """(SELECT o_orderkey FROM cust_orders UNION SELECT o_orderkey FROM nation_orders)"""
+_HITS_IN_TURN = [
+    *_HITS[:4],
+    _hit("NATION_PURGE", "lineitem", 1,
+         f"SELECT o.chunk_no FROM lineitem JOIN ({_LEFT_ORDERS}) o ON l_orderkey = o.o_orderkey"),
+    _hit("NATION_PURGE", "orders", 2, _LEFT_ORDERS),
+    _hit("NATION_PURGE", "customer", 3,
+         _direct("NATION_PURGE", "customer", "c_nationkey") + f" WHERE c_custkey NOT IN {_OURS}"),
+    *_HITS[7:9],
+    _hit("ORDERS", "lineitem", 1,
+         _direct("ORDERS", "lineitem", "l_orderkey") + f" WHERE l_orderkey NOT IN {_GONE}"),
+    _hit("ORDERS", "orders", 2,
+         _direct("ORDERS", "orders", "o_orderkey") + f" WHERE o_orderkey NOT IN {_GONE}"),
+    _hit("SESSIONS", "events", 1,
+         _direct("SESSIONS", "events", "user_id") + f" WHERE user_id NOT IN {_OURS}"),
+]
+
+
 def _found(group: str, table: str, column: str) -> str:
     return (
         f"SELECT group_code, key_no FROM pending WHERE group_code = '{group}' "
@@ -178,8 +201,8 @@ def _found(group: str, table: str, column: str) -> str:
     )
 
 
-_REPORT = "('CUST_EVENTS', 'CUST_ORDERS', 'ORDERS')"
-_RAN = "('CUST_EVENTS', 'CUST_ORDERS')"
+_REPORT = "('CUST_EVENTS', 'CUST_ORDERS', 'NATION_PURGE', 'ORDERS', 'SESSIONS')"
+_RAN = "('CUST_EVENTS', 'CUST_ORDERS', 'NATION_PURGE', 'SESSIONS')"
 
 SUBQUERIES = {
     "customer_pii": _extended("customer", CUSTOMER_PII),
@@ -230,6 +253,7 @@ SUBQUERIES = {
     "kv": """SELECT group_code, try_cast(key_no AS BIGINT) AS v, min(chunk_no) AS chunk_no
         FROM chunks GROUP BY 1, 2 HAVING try_cast(key_no AS BIGINT) IS NOT NULL""",
     "hits": " UNION ALL ".join(_HITS),
+    "hits_in_turn": " UNION ALL ".join(_HITS_IN_TURN),
     "summary": f"""SELECT 'BATCH-2025' AS batch_id, r.*,
             CAST(coalesce(sum(n), 0) AS BIGINT) AS estimated_rows_to_delete,
             {_INGESTED} AS executed_at
@@ -301,21 +325,31 @@ SUBQUERIES = {
             CAST(masked_row_count * 0.001 + 0.1 AS DECIMAL(10, 3)) AS duration_sec,
             {_STARTED} + to_seconds(chunk_number * 20) AS processed_at FROM mask_audit_rows""",
     "hit_customers": "SELECT v FROM mask_kv WHERE group_code = 'CUST_PII'",
+    "hit_users": "SELECT v FROM mask_kv WHERE group_code = 'USER_ANON'",
     "masked_pairs": " UNION ALL ".join(
-        f"SELECT '{t}' AS target_table, '{c}' AS column_name, {k} AS key, {c} AS before, "
-        f"{sql} AS after FROM {t}_pii WHERE {k} IN (SELECT v FROM hit_customers)"
-        for t, k, c, sql in [
-            ("customer", "c_custkey", "email", email("email")),
-            ("customer", "c_custkey", "phone", phone("phone")),
-            ("customer", "c_custkey", "citizen_id", citizen("citizen_id")),
-            ("customer", "c_custkey", "full_name", person("full_name")),
-            ("customer", "c_custkey", "address", "'CONFIDENTIAL_ADDRESS'"),
-            ("orders", "o_custkey", "contact", email("contact")),
-            ("orders", "o_custkey", "note", redacted("note")),
+        f"SELECT '{g}' AS group_code, '{t}' AS target_table, '{c}' AS column_name, "
+        f"{k if k != 'actor' else 'CAST(NULL AS BIGINT)'} AS key, "
+        f"{k if k == 'actor' else 'CAST(NULL AS VARCHAR)'} AS text_key, {c} AS before, "
+        f"{sql} AS after FROM {t}_pii WHERE {k} IN ({of})"
+        for g, t, k, c, sql, of in [
+            *[("CUST_PII", *rest, "SELECT v FROM hit_customers") for rest in [
+                ("customer", "c_custkey", "email", email("email")),
+                ("customer", "c_custkey", "phone", phone("phone")),
+                ("customer", "c_custkey", "citizen_id", citizen("citizen_id")),
+                ("customer", "c_custkey", "full_name", person("full_name")),
+                ("customer", "c_custkey", "address", "'CONFIDENTIAL_ADDRESS'"),
+                ("orders", "o_custkey", "contact", email("contact")),
+                ("orders", "o_custkey", "note", redacted("note")),
+            ]],
+            ("USER_ANON", "customer", "c_custkey", "username", hashed("username", SALT),
+             "SELECT v FROM hit_users"),
+            ("USER_ANON", "events", "actor", "actor", hashed("actor", SALT),
+             "SELECT username FROM customer_pii WHERE c_custkey IN (SELECT v FROM hit_users)"),
         ]
     ),
-    "previews": """SELECT target_table, column_name, before, after, row_number() OVER (
-            PARTITION BY target_table, column_name ORDER BY key, before, after) AS sample_index
+    "previews": """SELECT group_code, target_table, column_name, before, after, row_number() OVER (
+            PARTITION BY group_code, target_table, column_name
+            ORDER BY key, text_key, before, after) AS sample_index
         FROM masked_pairs WHERE before IS NOT NULL QUALIFY sample_index <= 5""",
     # configuration
     "sup_grp": """SELECT 'SUP_' || s_suppkey AS group_code,
@@ -401,8 +435,10 @@ _BODIES = {
             count(DISTINCT c_nationkey) FILTER (WHERE c_nationkey IN (SELECT v FROM nation_keys))
                 AS partitions_removed,
             CAST(1 AS BIGINT) AS commits_left FROM customer""",
-    "audit_append": f"""SELECT batch_id, {_SAME}, chunk_no, deleted_row_count FROM all_audit
-        WHERE group_code IN {_RAN}""",
+    "audit_append": f"""SELECT 'BATCH-2025' AS batch_id, {_SAME}, c.chunk_no,
+            CAST(coalesce(n, 0) AS BIGINT) AS deleted_row_count
+        FROM rul r JOIN (SELECT DISTINCT group_code, chunk_no FROM chunks) c USING (group_code)
+        LEFT JOIN hits_in_turn h USING (group_code, target_table, execution_order, chunk_no)""",
     "summary_replace": f"""SELECT batch_id, {_SAME},
         CASE WHEN group_code = 'ORDERS' THEN -1 ELSE estimated_rows_to_delete END
             AS estimated_rows_to_delete FROM report_summary""",
@@ -481,11 +517,11 @@ _BODIES = {
         FROM mask_rul r LEFT JOIN mask_hits h ON h.group_code = r.group_code
             AND h.target_table = r.target_table AND h.execution_order = r.execution_order
         GROUP BY ALL""",
-    "mask_preview": "SELECT target_table, column_name, before, after FROM previews",
+    "mask_preview": "SELECT group_code, target_table, column_name, before, after FROM previews",
     "mask_preview_failsoft": """SELECT 'customer' AS target_table, 'email' AS column_name,
             CAST(count(*) AS INTEGER) AS samples FROM previews WHERE column_name = 'email'
         UNION ALL SELECT * FROM (VALUES ('customer', 'phone', 0), ('customer', 'address', 0))""",
-    "preview_unpack": """SELECT 'CUST_PII' AS group_code, target_table, column_name,
+    "preview_unpack": """SELECT group_code, target_table, column_name,
         CAST(sample_index AS INTEGER) AS sample_index, before AS sample_original_value,
         after AS sample_masked_value FROM previews""",
     "assign_chunks": "SELECT group_code, key_no, chunk_no FROM chunks",
@@ -516,9 +552,9 @@ _BODIES = {
     ),
     "purge_audit": f"SELECT {_SAME}, chunk_no, deleted_row_count FROM all_audit",
     "task_complete": "SELECT group_code, key_no, status, processed_at FROM finished",
-    "resume_batch": f"""SELECT group_code, key_no,
+    "resume_batch": """SELECT group_code, key_no,
         CASE status WHEN 'VALIDATED' THEN 'COMPLETED' ELSE status END AS status
-        FROM tasks WHERE group_code IN {_RAN}""",
+        FROM tasks""",
     "mask_email": f"SELECT c_custkey, {email('email')} AS masked FROM customer_pii",
     "mask_phone": f"SELECT c_custkey, {phone('phone')} AS masked FROM customer_pii",
     "mask_citizen_id": f"SELECT c_custkey, {citizen('citizen_id')} AS masked FROM customer_pii",
@@ -549,16 +585,13 @@ _BODIES = {
     "mask_json_merge": """SELECT c_custkey, payload ->> '$.tier' AS tier,
         CAST(payload ->> '$.visits' AS BIGINT) AS visits, '***' AS cvv, 'XXX-XX-XXXX' AS ssn
         FROM customer_pii""",
-    "mask_apply": f"""SELECT * REPLACE (
+    "mask_apply": f"""SELECT * EXCLUDE (hit) REPLACE (
             CASE WHEN hit THEN {email('email')} ELSE email END AS email,
             CASE WHEN hit THEN {phone('phone')} ELSE phone END AS phone,
             CASE WHEN hit THEN {citizen('citizen_id')} ELSE citizen_id END AS citizen_id,
             CASE WHEN hit THEN {person('full_name')} ELSE full_name END AS full_name,
             CASE WHEN hit THEN 'CONFIDENTIAL_ADDRESS' ELSE address END AS address)
-        EXCLUDE (hit, payload) FROM (SELECT *, c_custkey IN (SELECT v FROM hit_customers) AS hit
-        FROM customer_pii)""".replace(
-        "* REPLACE (", "* EXCLUDE (hit, payload) REPLACE ("
-    ).replace("\n        EXCLUDE (hit, payload) FROM", "\n        FROM"),
+        FROM (SELECT *, c_custkey IN (SELECT v FROM hit_customers) AS hit FROM customer_pii)""",
     "mask_rule_grouping": """
         WITH r AS (SELECT DISTINCT 'SUP_' || l_suppkey AS group_code,
             'column_' || l_linenumber AS c, l_linenumber % 2 + 1 AS execution_order
@@ -570,10 +603,25 @@ _BODIES = {
     "mask_max_order": """SELECT 'address' AS column_name, count(*) AS changed_rows FROM customer
             WHERE c_custkey IN (SELECT v FROM hit_customers)
         UNION ALL SELECT 'contact', CAST(0 AS BIGINT)""",
-    "mask_multi_table": f"""SELECT o_orderkey, o_custkey,
-        CASE WHEN hit THEN {email('contact')} ELSE contact END AS contact,
-        CASE WHEN hit THEN {redacted('note')} ELSE note END AS note
-        FROM (SELECT *, o_custkey IN (SELECT v FROM hit_customers) AS hit FROM orders_pii)""",
+    "mask_multi_table": " UNION ALL ".join(
+        f"SELECT '{g}' AS group_code, '{t}' AS table_name, {key} AS row_key, '{c}' AS column_name, "
+        f"CASE WHEN {k} IN ({of}) THEN {sql} ELSE {c} END AS masked FROM {t}_pii"
+        for g, t, key, k, c, sql, of in [
+            *[("CUST_PII", *rest, "SELECT v FROM hit_customers") for rest in [
+                ("customer", "c_custkey", "c_custkey", "email", email("email")),
+                ("customer", "c_custkey", "c_custkey", "phone", phone("phone")),
+                ("customer", "c_custkey", "c_custkey", "citizen_id", citizen("citizen_id")),
+                ("customer", "c_custkey", "c_custkey", "full_name", person("full_name")),
+                ("customer", "c_custkey", "c_custkey", "address", "'CONFIDENTIAL_ADDRESS'"),
+                ("orders", "o_orderkey", "o_custkey", "contact", email("contact")),
+                ("orders", "o_orderkey", "o_custkey", "note", redacted("note")),
+            ]],
+            ("USER_ANON", "customer", "c_custkey", "c_custkey", "username",
+             hashed("username", SALT), "SELECT v FROM hit_users"),
+            ("USER_ANON", "events", "event_id", "actor", "actor", hashed("actor", SALT),
+             "SELECT username FROM customer_pii WHERE c_custkey IN (SELECT v FROM hit_users)"),
+        ]
+    ),
     "mask_join_preserving": """
         WITH j AS (SELECT count(DISTINCT actor) AS actors, count(*) AS joined_rows
             FROM customer_pii JOIN events_pii ON username = actor)
@@ -633,7 +681,8 @@ _BODIES = {
         FROM run_summary FULL OUTER JOIN a USING (batch_id, {_SAME})""",
     "rpt_residual": f"""
         SELECT batch_id, group_code, CASE group_code WHEN 'CUST_EVENTS' THEN 'events'
-                WHEN 'CUST_ORDERS' THEN 'customer' ELSE 'orders' END AS target_table,
+                WHEN 'CUST_ORDERS' THEN 'customer' WHEN 'NATION_PURGE' THEN 'nation'
+                WHEN 'SESSIONS' THEN 'events' ELSE 'orders' END AS target_table,
             count(*) AS completed_keys_checked,
             count(*) FILTER (WHERE group_code = 'ORDERS') AS leaked_residual_keys,
             CASE WHEN group_code = 'ORDERS' THEN 'FAIL: RESIDUAL DATA DETECTED'
@@ -684,15 +733,28 @@ _BODIES = {
             CAST(0 AS BIGINT) AS rows_changed FROM customer
             WHERE c_custkey NOT IN (SELECT v FROM hit_customers)
         UNION ALL SELECT 'orders', count(*), 0 FROM orders
-            WHERE o_custkey NOT IN (SELECT v FROM hit_customers)""",
+            WHERE o_custkey NOT IN (SELECT v FROM hit_customers)
+        UNION ALL SELECT 'events', count(*), 0 FROM events
+            WHERE user_id NOT IN (SELECT v FROM hit_users)""",
     "verify_row_count": " UNION ALL ".join(
-        f"""SELECT '{t}' AS table_name, count(*) AS rows_before,
+        f"""SELECT '{g}' AS run, '{t}' AS table_name, count(*) AS rows_before,
             count(*) FILTER (WHERE {hit}) AS rows_removed,
             count(*) FILTER (WHERE NOT ({hit})) AS rows_after, TRUE AS balanced FROM {t}"""
-        for t, hit in [
-            ("lineitem", "l_orderkey IN (SELECT o_orderkey FROM cust_orders)"),
-            ("orders", "o_custkey IN (SELECT v FROM cust_keys)"),
-            ("customer", "c_custkey IN (SELECT v FROM cust_keys)"),
+        for g, t, hit in [
+            ("CUST_EVENTS", "events", "user_id IN (SELECT v FROM cust_keys)"),
+            ("CUST_ORDERS", "lineitem", "l_orderkey IN (SELECT o_orderkey FROM cust_orders)"),
+            ("CUST_ORDERS", "orders", "o_custkey IN (SELECT v FROM cust_keys)"),
+            ("CUST_ORDERS", "customer", "c_custkey IN (SELECT v FROM cust_keys)"),
+            ("NATION_PURGE", "lineitem", "l_orderkey IN (SELECT o_orderkey FROM nation_orders)"),
+            ("NATION_PURGE", "orders", "o_orderkey IN (SELECT o_orderkey FROM nation_orders)"),
+            ("NATION_PURGE", "customer", "c_nationkey IN (SELECT v FROM nation_keys)"),
+            ("NATION_PURGE", "supplier", "s_nationkey IN (SELECT v FROM nation_keys)"),
+            ("NATION_PURGE", "nation", "n_nationkey IN (SELECT v FROM nation_keys)"),
+            ("ORDERS", "lineitem", "l_orderkey IN (SELECT v FROM order_keys)"),
+            ("ORDERS", "orders", "o_orderkey IN (SELECT v FROM order_keys)"),
+            ("SESSIONS", "events", "user_id IN (SELECT v FROM session_keys)"),
+            ("MASKING", "customer", "FALSE"), ("MASKING", "orders", "FALSE"),
+            ("MASKING", "events", "FALSE"),
         ]
     ),
     "chk_unique_collision": f"""
@@ -718,21 +780,25 @@ _BODIES = {
         FROM c JOIN n USING (target_table)""",
     "chk_length": """
         WITH lim AS (SELECT * FROM (VALUES ('email', 30), ('phone', 12), ('citizen_id', 20),
-            ('full_name', 15), ('address', NULL)) AS t(column_name, declared_length))
-        SELECT 'CUST_PII' AS group_code, target_table, column_name,
-            CAST(declared_length AS INTEGER) AS declared_length,
-            CAST(max(length(after)) AS INTEGER) AS longest_mask,
-            coalesce(max(length(after)) > declared_length, FALSE) AS too_long
-        FROM masked_pairs JOIN lim USING (column_name)
-        GROUP BY target_table, column_name, declared_length""",
+            ('full_name', 15), ('note', 60), ('actor', 16)) AS t(column_name, declared_length)),
+            longest AS (SELECT group_code, target_table, column_name,
+                CAST(max(length(after)) AS INTEGER) AS longest_mask FROM masked_pairs GROUP BY ALL)
+        SELECT r.group_code, r.target_table, r.column_name,
+            CAST(declared_length AS INTEGER) AS declared_length, longest_mask,
+            coalesce(longest_mask > declared_length, FALSE) AS too_long
+        FROM mask_rul r LEFT JOIN longest l ON l.group_code = r.group_code
+            AND l.target_table = r.target_table AND l.column_name = r.column_name
+        LEFT JOIN lim ON lim.column_name = r.column_name""",
     "chk_unmasked_leak": """
         WITH d AS (SELECT *, regexp_replace(before, '[^0-9]', '', 'g') AS b,
             regexp_replace(after, '[^0-9]', '', 'g') AS a FROM masked_pairs)
-        SELECT 'CUST_PII' AS group_code, target_table, column_name,
+        SELECT r.group_code, r.target_table, r.column_name,
             count(before) AS checked_values,
             count(*) FILTER (WHERE before = after) AS unchanged_values,
             count(*) FILTER (WHERE b <> '' AND contains(a, b)) AS digits_shown
-        FROM d GROUP BY target_table, column_name""",
+        FROM mask_rul r LEFT JOIN d ON d.group_code = r.group_code
+            AND d.target_table = r.target_table AND d.column_name = r.column_name
+        GROUP BY r.group_code, r.target_table, r.column_name""",
     "chk_referenced_column": """
         SELECT DISTINCT r.group_code, r.target_table AS parent_table,
             'column_' || execution_order AS parent_col,
@@ -741,8 +807,11 @@ _BODIES = {
         FROM sup_rul r JOIN (SELECT DISTINCT l_linenumber, l_returnflag FROM lineitem) l
             ON l_linenumber = execution_order WHERE execution_order <> 7""",
     "chk_cascade_scope": """
-        SELECT 'CUST_ORDERS' AS group_code, 'orders' AS parent_table, 'lineitem' AS child_table,
-            'l_orderkey' AS child_col, count(*) AS rows_outside_rules FROM lineitem
+        SELECT 'CUST_ORDERS' AS group_code, 'customer' AS parent_table, 'orders' AS child_table,
+            'o_custkey' AS child_col, count(*) AS rows_outside_rules FROM orders
+            WHERE o_custkey IN (SELECT c_custkey FROM customer
+                WHERE c_custkey IN (SELECT v FROM cust_keys))
+        UNION ALL SELECT 'CUST_ORDERS', 'orders', 'lineitem', 'l_orderkey', count(*) FROM lineitem
             WHERE l_orderkey IN (SELECT o_orderkey FROM cust_orders)
         UNION ALL SELECT 'CUST_ORDERS', 'customer', 'events', 'user_id', count(*) FROM events
             WHERE user_id IN (SELECT c_custkey FROM customer
@@ -765,8 +834,7 @@ _BODIES = {
         count(DISTINCT group_code) AS group_count
         FROM sup_rul JOIN sup_grp USING (group_code) WHERE is_active
         GROUP BY 1, 2 HAVING count(DISTINCT group_code) > 1""",
-    "stream_requests": f"""SELECT group_code, key_no, status FROM tasks
-        WHERE group_code IN {_RAN}""",
+    "stream_requests": "SELECT group_code, key_no, status FROM tasks",
     "stream_suppress": "SELECT * FROM events WHERE user_id NOT IN (SELECT v FROM cust_keys)",
     "stream_suppress_mask": """SELECT event_id, ts,
         CASE WHEN user_id IN (SELECT v FROM cust_keys) THEN -1 ELSE user_id END AS user_id,
