@@ -207,9 +207,13 @@ def mask_numeric_noise(
 
 
 def mask_json_merge(col: Column | str, fields: dict[str, str]) -> Column:
-    """Override or add top-level fields of a JSON object; the rest keeps its types."""
+    """Override or add top-level fields of a JSON object; the rest keeps its types.
+
+    Of text that is not a JSON object nothing can be told apart, so nothing is kept.
+    """
     payload = F.expr("map()").cast("map<string,variant>")
-    payload = F.coalesce(F.parse_json(_text(col)).cast("map<string,variant>"), payload)
+    parsed = F.try_variant_get(F.try_parse_json(_text(col)), "$", "map<string,variant>")
+    payload = F.coalesce(parsed, payload)
     kept = F.map_filter(payload, lambda k, _: ~k.isin(*fields))
     added = F.create_map(
         *[x for k, v in fields.items() for x in (F.lit(k), F.parse_json(F.lit(v)))]

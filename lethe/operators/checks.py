@@ -181,7 +181,8 @@ def cascade_scope(
         for place, parts in grown.items():
             fresh = union_all(parts).distinct()
             if place in known:
-                fresh = keyed_join(fresh.withColumn("_to", F.col(VALUE)), F.col("_to"), known[place], "left_anti")
+                fresh = fresh.select(F.col(VALUE).alias("_to"))
+                fresh = keyed_join(fresh, F.col("_to"), known[place], "left_anti")
                 fresh = fresh.select(F.col("_to").alias(VALUE))
             fresh = measured(fresh)
             if fresh.rows:

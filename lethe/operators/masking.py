@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -154,7 +155,7 @@ def mask_preview(
     def alone(rule: MaskingRule) -> list:
         try:
             return attempt([rule])
-        except (PySparkException, ValueError) as failure:
+        except (PySparkException, Py4JJavaError, ValueError) as failure:
             warnings.warn(
                 f"no preview for {rule.target_table}.{rule.column_name}: {failure}", stacklevel=2
             )
@@ -162,7 +163,7 @@ def mask_preview(
 
     try:
         found = attempt(rules)
-    except (PySparkException, ValueError):
+    except (PySparkException, Py4JJavaError, ValueError):
         found = [row for rows in in_parallel(partial(alone, rule) for rule in rules) for row in rows]
     pairs: dict[tuple, list] = {(r.group_code, r.target_table, r.column_name): [] for r in rules}
     for row in found:

@@ -38,15 +38,8 @@ def _table_pairs(numbered: list[tuple[int, MaskClaim]], masked) -> DataFrame:
         if key not in marks:
             marks[key] = f"_match{len(marks)}"
             values[key] = reacher.values(rule.path)
-    matches = {key: guarded_match(key[1], dict_as_of(numbered, key)) for key in marks}
-    pairs = [
-        F.struct(
-            F.col(rule.column_name).cast("string").alias("before"),
-            masked(rule).cast("string").alias("after"),
-        ).alias(f"_pair{number}")
-        for number, (rule, _) in numbered
-    ]
-    rows = table.select(*[matches[k].alias(name) for k, name in marks.items()], *pairs)
+    as_of = {id(reacher): reacher.as_of for _, (_, reacher) in numbered}
+    rows = table.withColumns({name: guarded_match(k[1], as_of[k[0]]) for k, name in marks.items()})
     near = [values[k].in_range(F.col(name), rows) for k, name in marks.items()]
     rows = rows.where(reduce(lambda a, b: a | b, near))
     for key, name in marks.items():
@@ -60,17 +53,14 @@ def _table_pairs(numbered: list[tuple[int, MaskClaim]], masked) -> DataFrame:
             F.lit(number).alias(NO),
             (F.col(name) if whole else F.lit(None)).cast("long").alias(NUMBER),
             (F.lit(None) if whole else F.col(name)).cast("string").alias(TEXT),
-            F.col(f"_pair{number}.before").alias("before"),
-            F.col(f"_pair{number}.after").alias("after"),
+            F.col(rule.column_name).cast("string").alias("before"),
+            masked(rule).cast("string").alias("after"),
         )
+        # the expression sees reached rows only
         entries.append(F.when(F.col(f"_hit{name}"), entry))
     return rows.select(F.inline(F.array_compact(F.array(*entries))))
 
 
-def dict_as_of(numbered: list[tuple[int, MaskClaim]], key: tuple) -> str | None:
-    return next(r.as_of for _, (_, r) in numbered if id(r) == key[0])
-
-
 def masked_pairs(claims: list[MaskClaim], masked) -> DataFrame:
     """(_no, _number, _text, before, after) per rule and reached row, one scan per table.
 

@@ -59,6 +59,10 @@ def _probe(members: list[tuple[int, int, Measured]]) -> Measured:
     return Measured(frame, rows, size, low, high)
 
 
+def _of_group(by: Column, group: int) -> Column:
+    return F.filter(by, lambda x: x["of"] == group)
+
+
 def _table_tally(numbered: list[tuple[int, Claim]], once: bool) -> DataFrame:
     """(_no, chunk_no, row_count) of one table's rules."""
     groups = {code: i for i, code in enumerate(dict.fromkeys(r.group_code for _, (r, _) in numbered))}
@@ -92,7 +96,7 @@ def _table_tally(numbered: list[tuple[int, Claim]], once: bool) -> DataFrame:
             counts[rule.group_code] = counts.get(rule.group_code, 0) + 1
         several = [groups[code] for code, n in counts.items() if n > 1]
         alone = F.filter(by, lambda x: ~x["of"].isin(several)) if several else by
-        firsts = [F.array_min(F.filter(by, lambda x, g=g: x["of"] == g)) for g in several]
+        firsts = [F.array_min(_of_group(by, group)) for group in several]
         by = F.concat(alone, F.array_compact(F.array(*firsts))) if several else by
     return (
         rows.select("_n", F.explode(by).alias("_by"))

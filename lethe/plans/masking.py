@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lethe.config import MaskingConfig, MaskingRule
+from lethe.operators import reports
 from lethe.operators.configtables import replace_scope
 from lethe.operators.masking import (
     PREVIEW_SCHEMA,
@@ -21,7 +22,7 @@ from lethe.operators.masking import (
 from lethe.operators.parallel import in_parallel
 from lethe.operators.purge import union_all
 from lethe.operators.reach import Reacher
-from lethe.operators.sizing import durable
+from lethe.operators.sizing import Measured, durable
 from lethe.operators.tasks import (
     TASK_SCHEMA,
     complete_tasks,
@@ -117,43 +118,71 @@ def run_masking(
     parameters: dict[str, str] | None = None,
 ) -> int:
     """Mask what the batch's validated tasks reach; returns the number of groups."""
+    scope = [g.group_code for g in config.active_groups(group_code=group_code)]
+    scope = [code for code in scope if config.rules_of(code)]
+    all_tasks = batch_rows(read_or_empty(store, TASKS, TASK_SCHEMA), batch_id)
+    if not scope or all_tasks.isEmpty():
+        return 0
+    audit = batch_rows(read_or_empty(store, AUDIT, AUDIT_SCHEMA), batch_id)
+    stages = erasure.chunked_keys(all_tasks, config, scope, audit, "chunk_number")
     done = 0
-    for group in config.active_groups(group_code=group_code):
-        code = group.group_code
-        orders = sorted({r.execution_order for r in config.rules_of(code)})
-        if not orders:
-            continue
-        up_to = orders[-1] if max_order is None else min(max_order, orders[-1])
-        ran = False
+    for code in scope:
+        last = config.rules_of(code)[-1].execution_order
+        up_to = last if max_order is None else min(max_order, last)
         # a task partly masked before goes on behind the order it has reached
-        for reached in [0, *orders[:-1]]:
-            all_tasks = batch_rows(read_or_empty(store, TASKS, TASK_SCHEMA), batch_id)
-            which = is_runnable(code, reached)
-            runnable = all_tasks.where(which)
-            if reached >= up_to > 0 or runnable.isEmpty():
-                continue
-            rules = [r for r in config.rules_of(code, up_to) if r.execution_order > reached]
-            with store.begin() as change:
-                change.note = {"masked_batch": batch_id, "group_code": code}
-                if rules:
-                    keys = erasure.chunked_keys(runnable, config, [code])[code]
-                    reacher = Reacher.over(keys, erasure.target_tables(store, rules), as_of)
-                    _mask_group(change, batch_id, reacher, rules, parameters)
-                tasks = complete_tasks(all_tasks, which, now(), up_to, orders[-1])
-                replace_batch(change, TASKS, conform(tasks, TASK_SCHEMA), batch_id)
-            ran = True
-        done += ran
+        orders = sorted(o for c, o in stages if c == code and not o >= up_to > 0)
+        try:
+            for order in orders:
+                keys = stages[code, order]
+                _run_stage(store, config, batch_id, code, order, up_to, keys, as_of, parameters)
+        except erasure.FAILURES as failure:
+            erasure.record_failure(store, TASKS, batch_id, code, failure)
+        else:
+            done += bool(orders)
     return done
 
 
+def _run_stage(
+    store: SnapshotStore, config: MaskingConfig, batch_id: str, code: str, order: int,
+    up_to: int, keys: Measured, as_of: str | None, parameters: dict[str, str] | None,
+) -> None:
+    """Tables, audit and tasks of a group's keys that have reached ``order``, in one commit."""
+    last = config.rules_of(code)[-1].execution_order
+    rules = [r for r in config.rules_of(code, up_to) if r.execution_order > order]
+    which = is_runnable(code) & (F.coalesce("done_order", F.lit(0)) == order)
+    tasks = batch_rows(store.read(TASKS), batch_id).where(F.col("group_code") == code)
+    with store.begin() as change:
+        change.note = {"masked_batch": batch_id, "group_code": code}
+        writes = []
+        if rules:
+            reacher = Reacher.over(keys, erasure.target_tables(store, rules), as_of)
+            entries = _mask_group(change, batch_id, reacher, rules, parameters)
+            writes.append(partial(change.append, AUDIT, entries, ("batch_id",)))
+        tasks = conform(complete_tasks(tasks, which, now(), up_to, last), TASK_SCHEMA)
+        writes.append(partial(replace_batch, change, TASKS, tasks, batch_id, code))
+        in_parallel(writes)
+
+
+def certificate(store: SnapshotStore, batch_id: str) -> DataFrame:
+    """What was masked, and whether the unmasked values are gone for good.
+
+    A version from before the masking still holds them, and so do adopted folders and
+    files the tables were written from; ``older_copies_removed`` is true once none is left.
+    """
+    audit = batch_rows(store.read(AUDIT), batch_id)
+    removed = F.lit(erasure.copies_removed(store, "masked_batch", batch_id))
+    return reports.mask_audit_summary(audit).withColumn("older_copies_removed", removed)
+
+
 def _mask_group(
     change: Transaction, batch_id: str, reacher: Reacher, rules: list[MaskingRule],
     parameters: dict[str, str] | None,
-) -> None:
+) -> DataFrame:
+    """Write the tables with what the rules reach masked; returns the audit."""
     steps = mask_steps(rules)
     reacher.prepare([s.path for s in steps])  # all hits before any table changes
     chunks = reacher.keys.select(F.col("chunk_no").alias("chunk_number")).distinct()
-    last = reacher.keys.agg(F.max("chunk_no")).first()[0]
+    n_chunks = reacher.keys.select("chunk_no").distinct().count()
 
     def rewrite(name: str) -> DataFrame:
         began = time.monotonic()
@@ -163,7 +192,7 @@ def _mask_group(
             change.replace_files(name, list(reached.files), masked_files(reached, own, parameters))
             reached.release()
         # each table is timed on its own; its chunks are masked in one go
-        seconds = (time.monotonic() - began) / len(own) / last
+        seconds = (time.monotonic() - began) / len(own) / n_chunks
         return reached_mask_audit(own, reached, chunks).withColumn("duration_sec", F.lit(seconds))
 
     names = dict.fromkeys(s.target_table for s in steps)
@@ -171,7 +200,7 @@ def _mask_group(
     entries = union_all(parts).withColumns(
         {"batch_id": F.lit(batch_id), "processed_at": now()}
     )
-    change.append(AUDIT, conform(entries, AUDIT_SCHEMA), ("batch_id",))
+    return conform(entries, AUDIT_SCHEMA)
 
 
 def drop_previews(store: SnapshotStore, before) -> None:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from lethe.config import DeletionConfig
-from lethe.plans.erasure import ingest, run_deletion_dry_run
+from lethe.plans.erasure import ingest, take_requests
 from lethe.sources.keyfile import clean_keys
 from lethe.sources.snapshots import SnapshotStore
 
@@ -37,17 +37,18 @@ def start_intake(
     checkpoint: str, as_of: str | None = None, validate: bool = True,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Store, expand and validate every request once.
+    """Store, expand, validate and estimate every request once.
 
-    A micro-batch that is repeated after a failure adds nothing: known keys and
-    tasks are skipped.  ``trigger`` holds the arguments of the stream's trigger; the
+    Only the keys of a micro-batch are looked for.  One that is repeated after a failure
+    adds nothing: known keys are skipped.  ``trigger`` holds the arguments of the stream's trigger; the
     default takes what is there and ends.
     """
 
     def take(batch: DataFrame, epoch: int) -> None:
-        ingest(store, distinct_requests(batch), batch_id)
         if validate:
-            run_deletion_dry_run(store, config, batch_id, as_of=as_of)
+            take_requests(store, config, distinct_requests(batch), batch_id, as_of)
+        else:
+            ingest(store, distinct_requests(batch), batch_id)
 
     return (
         requests.writeStream.foreachBatch(take)
