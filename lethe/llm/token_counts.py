@@ -5,35 +5,46 @@ of spaces and before every line feed.  Per document, pre-tokens are counted; a
 pre-token's pieces are counted once, whatever the number of its occurrences; the
 two meet in a join and are summed per document.
 
-Frequent pre-tokens would make hot join keys, so a bounded number of them, found
-over all texts, is joined by broadcast where documents are cut; the rest is
-shuffled.  Which side a pre-token is on never changes a count.
+Frequent pre-tokens would make hot join keys, so a bounded number of short ones, found
+over all texts, is joined by broadcast where documents are cut.  The rest is numbered
+in a dictionary per block of documents: a block's documents keep numbers, its dictionary
+holds every text once, and only dictionaries are shuffled by text.  The pieces come back
+to the block as an array by number.  Which side a pre-token is on never changes a count.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache, partial
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lethe.llm.words import byte_column
 from lethe.operators.sizing import durable
 
 _PART = re.compile("\n[^ \n]*| *[^ \n]+| +")
-_CUT = "row long, doc_id long, n_bytes long, known long, rare array<string>, times array<long>"
+_CUT = (
+    "block long, doc_id long, n_bytes long, known long, numbers binary, number int, pretoken string"
+)
+_COUNTS = "doc_id long, n_bytes long, n_tokens long"
 
 
 @dataclass(frozen=True)
 class CountParameters:
     frequent: int = 200_000  # pre-tokens joined by broadcast, at most
     tracked: int = 1_000_000  # counters of a task that looks for them
+    longest: int = 64  # characters of a pre-token joined by broadcast
+    dictionary_bytes: int = 8 << 20  # text of a block's dictionary; one document may exceed it
+    numbers_bytes: int = 16 << 20  # numbers of a block's documents
     limit: int = 4096
 
 
@@ -83,7 +94,7 @@ def _frequent(batches: Iterator[pa.RecordBatch], p: CountParameters) -> Iterator
     for batch in batches:
         for text in batch.column(0):
             if text.is_valid:
-                seen.update(pretokens(text.as_py()))
+                seen.update(part for part in pretokens(text.as_py()) if len(part) <= p.longest)
             if len(seen) > p.tracked:
                 seen = Counter(dict(seen.most_common(p.tracked // 2)))
     top = seen.most_common(p.frequent // 2)
@@ -93,38 +104,92 @@ def _frequent(batches: Iterator[pa.RecordBatch], p: CountParameters) -> Iterator
                                          ["pretoken", "times"])
 
 
-def _cut(batches: Iterator[pa.RecordBatch], known) -> Iterator[pa.RecordBatch]:
+def _documents(block: int, rows: list[tuple]) -> pa.RecordBatch:
+    ids, sizes, sums, numbers = zip(*rows, strict=True)
+    n = len(rows)
+    columns = [
+        pa.array([block] * n, pa.int64()), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()),
+        pa.array(sums, pa.int64()), pa.array(numbers, pa.binary()), pa.nulls(n, pa.int32()),
+        pa.nulls(n, pa.string()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _CUT.split(", ")])
+
+
+def _dictionary(block: int, parts: list[str], first: int) -> pa.RecordBatch:
+    n = len(parts)
+    columns = [
+        pa.array([block] * n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
+        pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()),
+        pa.array(range(first, first + n), pa.int32()), pa.array(parts, pa.string()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _CUT.split(", ")])
+
+
+def _cut(batches: Iterator[pa.RecordBatch], known, p: CountParameters) -> Iterator[pa.RecordBatch]:
+    """Documents with the numbers of their rare pre-tokens, and the dictionary of each block.
+
+    A number stands as often as its pre-token occurs.
+    """
     pieces: dict[str, int] = known.value
-    row = TaskContext.get().partitionId() << 40
+    block = TaskContext.get().partitionId() << 32
+    numbered: dict[str, int] = {}
+    text_bytes = number_bytes = 0
+
+    def dictionary() -> Iterator[pa.RecordBatch]:
+        parts = list(numbered)
+        for at in range(0, len(parts), 5_000):
+            yield _dictionary(block, parts[at : at + 5_000], at)
+
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
             some = batch.slice(at, 500)
-            sizes, sums, offsets, rare, times = [], [], [0], [], []
-            for text in some.column(1).fill_null("").to_pylist():
+            rows: list[tuple] = []
+            for doc_id, text in zip(
+                some.column(0).to_pylist(), some.column(1).fill_null("").to_pylist(), strict=True
+            ):
                 total = 0
+                numbers = array("I")
                 for part, n in Counter(pretokens(text)).items():
                     own = pieces.get(part)
-                    if own is None:
-                        rare.append(part)
-                        times.append(n)
-                    else:
+                    if own is not None:
                         total += n * own
-                sizes.append(len(text) if text.isascii() else len(text.encode()))
-                sums.append(total)
-                offsets.append(len(rare))
-            bounds = pa.array(offsets, pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(range(row, row + some.num_rows), pa.int64()),
-                    some.column(0),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(sums, pa.int64()),
-                    pa.ListArray.from_arrays(bounds, pa.array(rare, pa.string())),
-                    pa.ListArray.from_arrays(bounds, pa.array(times, pa.int64())),
-                ],
-                ["row", "doc_id", "n_bytes", "known", "rare", "times"],
-            )
-            row += some.num_rows
+                        continue
+                    number = numbered.get(part)
+                    if number is None:
+                        number = numbered[part] = len(numbered)
+                        text_bytes += len(part)
+                    numbers.extend([number] * n)
+                size = len(text) if text.isascii() else len(text.encode())
+                rows.append((doc_id, size, total, numbers.tobytes()))
+                number_bytes += 4 * len(numbers)
+                if text_bytes >= p.dictionary_bytes or number_bytes >= p.numbers_bytes:
+                    yield _documents(block, rows)
+                    yield from dictionary()
+                    rows = []
+                    numbered.clear()
+                    text_bytes = number_bytes = 0
+                    block += 1
+            if rows:
+                yield _documents(block, rows)
+    yield from dictionary()
+
+
+def _summed(documents: pa.Table, counted: pa.Table) -> pa.Table:
+    """Token counts of one block's documents."""
+    n = counted.num_rows
+    pieces = np.zeros(n, dtype=np.int64)
+    pieces[counted.column("number").to_numpy()] = counted.column("pieces").to_numpy()
+    raw, offsets = byte_column(documents.column("numbers").combine_chunks())
+    numbers = raw[int(offsets[0]) : int(offsets[-1])].view("<u4")
+    upto = np.concatenate([[0], np.cumsum(pieces[numbers])])[(offsets - offsets[0]) // 4]
+    total = documents.column("known").to_numpy() + np.diff(upto)
+    return pa.table(
+        {
+            "doc_id": documents.column("doc_id"),
+            "n_bytes": documents.column("n_bytes"),
+            "n_tokens": pa.array(total, pa.int64()),
+        }
+    )
 
 
 def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -155,19 +220,17 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     known = {
         r[0]: r[1] for r in top.select("pretoken", pieces_of("pretoken").alias("pieces")).collect()
     }
-    cut = durable(texts.mapInArrow(partial(_cut, known=spark.sparkContext.broadcast(known)), _CUT))
-    rare = cut.select("row", F.explode(F.arrays_zip("rare", "times")).alias("of")).select(
-        "row", F.col("of.rare").alias("pretoken"), F.col("of.times").alias("times")
-    )
-    counted = rare.select("pretoken").distinct().withColumn("pieces", pieces_of("pretoken"))
-    sums = (
-        rare.join(counted.hint("shuffle_hash"), "pretoken")
-        .groupBy("row")
-        .agg(F.sum(F.col("times") * F.col("pieces")).alias("more"))
+    cut = durable(
+        texts.mapInArrow(partial(_cut, known=spark.sparkContext.broadcast(known), p=p), _CUT)
     )
-    total = F.col("known") + F.coalesce("more", F.lit(0))
-    return (
-        cut.select("row", "doc_id", "n_bytes", "known")
-        .join(sums, "row", "left")
-        .select("doc_id", "n_bytes", total.alias("n_tokens"), (total > p.limit).alias("over_limit"))
+    rare = cut.where("pretoken is not null")
+    # a text travels once per block; its list is as long as the blocks are many
+    holders = rare.groupBy("pretoken").agg(F.collect_list(F.struct("block", "number")).alias("of"))
+    counted = holders.select(pieces_of("pretoken").alias("pieces"), F.explode("of").alias("of"))
+    counted = counted.select(
+        F.col("of.block").alias("block"), F.col("of.number").alias("number"), "pieces"
     )
+    documents = cut.where("pretoken is null").select("block", "doc_id", "n_bytes", "known", "numbers")
+    # a block is bounded by the size of its dictionary and of its numbers
+    counts = documents.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(_summed, _COUNTS)
+    return counts.withColumn("over_limit", F.col("n_tokens") > p.limit)
