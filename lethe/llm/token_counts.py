@@ -15,6 +15,7 @@ to the block as an array by number.  Which side a pre-token is on never changes
 from __future__ import annotations
 
 import re
+import zlib
 from array import array
 from collections import Counter
 from collections.abc import Iterator
@@ -28,13 +29,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lethe.llm.words import byte_column
 from lethe.operators.sizing import durable
 
 _PART = re.compile("\n[^ \n]*| *[^ \n]+| +")
-_CUT = (
-    "block long, doc_id long, n_bytes long, known long, numbers binary, number int, pretoken string"
-)
+#: a document with its packed numbers, or (``first`` given) a packed stretch of a dictionary
+_CUT = "block long, doc_id long, n_bytes long, known long, packed binary, first int"
+_RARE = "block long, number int, pretoken string"
+_PIECES = "block long, number int, pieces int"
+_STRETCH = 5_000  # entries of a dictionary packed together
 _COUNTS = "doc_id long, n_bytes long, n_tokens long"
 
 
@@ -104,23 +106,17 @@ def _frequent(batches: Iterator[pa.RecordBatch], p: CountParameters) -> Iterator
                                          ["pretoken", "times"])
 
 
-def _documents(block: int, rows: list[tuple]) -> pa.RecordBatch:
-    ids, sizes, sums, numbers = zip(*rows, strict=True)
-    n = len(rows)
-    columns = [
-        pa.array([block] * n, pa.int64()), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()),
-        pa.array(sums, pa.int64()), pa.array(numbers, pa.binary()), pa.nulls(n, pa.int32()),
-        pa.nulls(n, pa.string()),
-    ]
-    return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _CUT.split(", ")])
+def _packed(raw: bytes) -> bytes:
+    """Numbers mostly count on, and words share letters, so little is left of either."""
+    return zlib.compress(raw, 1)
 
 
-def _dictionary(block: int, parts: list[str], first: int) -> pa.RecordBatch:
-    n = len(parts)
+def _rows(block: int, rows: list[tuple]) -> pa.RecordBatch:
+    ids, sizes, sums, packed, first = zip(*rows, strict=True)
     columns = [
-        pa.array([block] * n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
-        pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()),
-        pa.array(range(first, first + n), pa.int32()), pa.array(parts, pa.string()),
+        pa.array([block] * len(rows), pa.int64()), pa.array(ids, pa.int64()),
+        pa.array(sizes, pa.int64()), pa.array(sums, pa.int64()), pa.array(packed, pa.binary()),
+        pa.array(first, pa.int32()),
     ]
     return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _CUT.split(", ")])
 
@@ -137,8 +133,10 @@ def _cut(batches: Iterator[pa.RecordBatch], known, p: CountParameters) -> Iterat
 
     def dictionary() -> Iterator[pa.RecordBatch]:
         parts = list(numbered)
-        for at in range(0, len(parts), 5_000):
-            yield _dictionary(block, parts[at : at + 5_000], at)
+        for at in range(0, len(parts), _STRETCH):
+            # no pre-token holds a second line feed
+            text = "\n\n".join(parts[at : at + _STRETCH]).encode()
+            yield _rows(block, [(None, None, None, _packed(text), at)])
 
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
@@ -160,28 +158,63 @@ def _cut(batches: Iterator[pa.RecordBatch], known, p: CountParameters) -> Iterat
                         text_bytes += len(part)
                     numbers.extend([number] * n)
                 size = len(text) if text.isascii() else len(text.encode())
-                rows.append((doc_id, size, total, numbers.tobytes()))
+                rows.append((doc_id, size, total, _packed(numbers.tobytes()), None))
                 number_bytes += 4 * len(numbers)
                 if text_bytes >= p.dictionary_bytes or number_bytes >= p.numbers_bytes:
-                    yield _documents(block, rows)
+                    yield _rows(block, rows)
                     yield from dictionary()
                     rows = []
                     numbered.clear()
                     text_bytes = number_bytes = 0
                     block += 1
             if rows:
-                yield _documents(block, rows)
+                yield _rows(block, rows)
     yield from dictionary()
 
 
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The dictionaries' pre-tokens, one a row."""
+    for batch in batches:
+        for block, packed, first in zip(
+            batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(),
+            strict=True,
+        ):
+            parts = zlib.decompress(packed).decode().split("\n\n")
+            columns = [
+                pa.array([block] * len(parts), pa.int64()),
+                pa.array(range(first, first + len(parts)), pa.int32()), pa.array(parts, pa.string()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["block", "number", "pretoken"])
+
+
+def _counted(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    """Pieces of pre-tokens in their order: those of equal ones in a row are counted once."""
+    counter = piece_counter(path)
+    last: tuple[str | None, int] = (None, 0)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        encoded = batch.column(2).dictionary_encode()
+        parts = encoded.dictionary.to_pylist()
+        if parts[0] == last[0]:
+            pieces = [last[1], *counter.counts(parts[1:])]
+        else:
+            pieces = counter.counts(parts)
+        last = parts[-1], pieces[-1]
+        own = pa.array(np.array(pieces, dtype=np.int32)).take(encoded.indices)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), own], ["block", "number", "pieces"]
+        )
+
+
 def _summed(documents: pa.Table, counted: pa.Table) -> pa.Table:
     """Token counts of one block's documents."""
     n = counted.num_rows
     pieces = np.zeros(n, dtype=np.int64)
     pieces[counted.column("number").to_numpy()] = counted.column("pieces").to_numpy()
-    raw, offsets = byte_column(documents.column("numbers").combine_chunks())
-    numbers = raw[int(offsets[0]) : int(offsets[-1])].view("<u4")
-    upto = np.concatenate([[0], np.cumsum(pieces[numbers])])[(offsets - offsets[0]) // 4]
+    lists = [np.frombuffer(zlib.decompress(x), "<u4") for x in documents.column("packed").to_pylist()]
+    upto = np.concatenate([[0], np.cumsum(pieces[np.concatenate(lists)])])
+    upto = upto[np.concatenate([[0], np.cumsum([len(x) for x in lists])])]
     total = documents.column("known").to_numpy() + np.diff(upto)
     return pa.table(
         {
@@ -223,14 +256,13 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     cut = durable(
         texts.mapInArrow(partial(_cut, known=spark.sparkContext.broadcast(known), p=p), _CUT)
     )
-    rare = cut.where("pretoken is not null")
-    # a text travels once per block; its list is as long as the blocks are many
-    holders = rare.groupBy("pretoken").agg(F.collect_list(F.struct("block", "number")).alias("of"))
-    counted = holders.select(pieces_of("pretoken").alias("pieces"), F.explode("of").alias("of"))
-    counted = counted.select(
-        F.col("of.block").alias("block"), F.col("of.number").alias("number"), "pieces"
+    dictionaries = cut.where("first is not null").select("block", "packed", "first")
+    # equal pre-tokens of several blocks come together, one behind the other
+    rare = dictionaries.mapInArrow(_entries, _RARE).repartition("pretoken")
+    counted = rare.sortWithinPartitions("pretoken").mapInArrow(
+        partial(_counted, path=model_path), _PIECES
     )
-    documents = cut.where("pretoken is null").select("block", "doc_id", "n_bytes", "known", "numbers")
+    documents = cut.where("first is null").select("block", "doc_id", "n_bytes", "known", "packed")
     # a block is bounded by the size of its dictionary and of its numbers
     counts = documents.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(_summed, _COUNTS)
     return counts.withColumn("over_limit", F.col("n_tokens") > p.limit)
