@@ -14,6 +14,7 @@ to the block as an array by number.  Which side a pre-token is on never changes
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from array import array
@@ -134,8 +135,7 @@ def _cut(batches: Iterator[pa.RecordBatch], known, p: CountParameters) -> Iterat
     def dictionary() -> Iterator[pa.RecordBatch]:
         parts = list(numbered)
         for at in range(0, len(parts), _STRETCH):
-            # no pre-token holds a second line feed
-            text = "\n\n".join(parts[at : at + _STRETCH]).encode()
+            text = json.dumps(parts[at : at + _STRETCH], ensure_ascii=False).encode()
             yield _rows(block, [(None, None, None, _packed(text), at)])
 
     for batch in batches:
@@ -179,7 +179,7 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(),
             strict=True,
         ):
-            parts = zlib.decompress(packed).decode().split("\n\n")
+            parts = json.loads(zlib.decompress(packed))
             columns = [
                 pa.array([block] * len(parts), pa.int64()),
                 pa.array(range(first, first + len(parts)), pa.int32()), pa.array(parts, pa.string()),
