@@ -58,7 +58,9 @@ def _table_pairs(numbered: list[tuple[int, MaskClaim]], masked) -> DataFrame:
         )
         # the expression sees reached rows only
         entries.append(F.when(F.col(f"_hit{name}"), entry))
-    return rows.select(F.inline(F.array_compact(F.array(*entries))))
+    # SQL functions are resolved in a projection only
+    made = rows.select(F.array_compact(F.array(*entries)).alias("_entries"))
+    return made.select(F.inline("_entries"))
 
 
 def masked_pairs(claims: list[MaskClaim], masked) -> DataFrame:
