@@ -16,7 +16,6 @@ from lethe.llm.fill_middle import (
     FEED,
     LEAD,
     SPACE,
-    UNITS,
     ClassRanks,
     FillParameters,
     _CLASS,
