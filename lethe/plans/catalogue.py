@@ -66,13 +66,6 @@ def new_store(o: Overlay, tables: dict[str, tuple[str, ...]]) -> SnapshotStore:
     return store
 
 
-def only(*codes: str) -> DeletionConfig:
-    return DeletionConfig(
-        [g for g in DELETION.groups if g.group_code in codes],
-        [r for r in DELETION.rules if r.group_code in codes],
-    )
-
-
 # -- sources and sinks -----------------------------------------------------
 
 
