@@ -24,6 +24,7 @@ from lethe.operators.masking import (
 from lethe.operators.purge import by_table, estimate_delete, survivors, union_all
 from lethe.operators.reach import Reacher, eligible, match_column
 from lethe.operators.sizing import durable, keyed_join
+from lethe.operators.tally import tallied_estimates
 from lethe.operators.tasks import (
     expand_tasks,
     first_rule,
@@ -399,7 +400,10 @@ ALL_GROUPS = tuple(g.group_code for g in DELETION.active_groups())
 
 
 def _estimate_delete(o):
-    return o.summary.select(*SUMMARY_COLUMNS)
+    """As a dry run does it: all validated keys at once, without chunks."""
+    sized = erasure.dry_run_keys(o.tasks, list(ALL_GROUPS))
+    reachers = {c: Reacher.over(k, o.tables, overlay.AS_OF) for c, k in sized.items()}
+    return tallied_estimates(erasure.prepared_claims(DELETION, reachers))
 
 
 QUERIES["estimate_delete"] = lambda s, d: _estimate_delete(Overlay(s, d, ALL_GROUPS))
