@@ -9,7 +9,7 @@ from lethe.config import DeletionConfig, DeletionRule, Group, KeyPath
 from lethe.operators.sizing import VALUE, sized
 from lethe.plans import erasure
 from lethe.sources.snapshots import SnapshotStore
-from lethe.streaming.audit_rate import audit_rate, read_rates, start_audit_rate
+from lethe.streaming.audit_rate import RateParts, audit_rate, read_rates, start_audit_rate
 from lethe.streaming.requests import read_requests, start_intake
 from lethe.streaming.suppress import read_output, start_suppression
 
@@ -120,3 +120,59 @@ def test_late_audit_rows_are_counted(spark, tmp_path):
         stream = spark.readStream.schema(schema).parquet(str(source))
         start_audit_rate(stream, out, checkpoint).awaitTermination()
     assert read_rates(spark, out).count() == 3
+
+
+RATE_AUDIT = "group_code string, deleted_row_count long, executed_at timestamp"
+
+
+def _rate_run(spark, folder, files, fan=3):
+    """One micro-batch a file; (stream starter, expected rates)."""
+    source, out, checkpoint = (str(folder / n) for n in ("audit", "rates", "c"))
+    audit = spark.range(files * 4).select(
+        F.concat(F.lit("G"), F.col("id") % 2).alias("group_code"),
+        F.col("id").alias("deleted_row_count"),
+        # every fourth row is hours late
+        F.timestamp_seconds(1_700_000_000 + F.col("id") * 7 - F.when(F.col("id") % 4 == 0, 9000).otherwise(0)).alias(
+            "executed_at"
+        ),
+    )
+    audit.repartitionByRange(files, "deleted_row_count").write.parquet(source)
+
+    def run(checkpoint=checkpoint):
+        stream = spark.readStream.schema(RATE_AUDIT).option("maxFilesPerTrigger", 1).parquet(source)
+        start_audit_rate(stream, out, checkpoint, fan=fan).awaitTermination()
+        return sorted(map(tuple, read_rates(spark, out).collect()))
+
+    return run, RateParts(spark, out), sorted(map(tuple, audit_rate(audit).collect()))
+
+
+def test_rates_are_folded_and_counted_once(spark, tmp_path):
+    run, parts, expected = _rate_run(spark, tmp_path, 12)
+    assert run() == expected
+    # 12 micro-batches: 0 to 8 in one part, the others not yet folded
+    assert parts.cover() == [(0, 8), (9, 9), (10, 10), (11, 11)]
+    # what 0-8 holds stays until the next fold; folds of the time before are gone
+    assert not [s for s in parts.spans() if s[0] == s[1] and s[0] < 6]
+    before = parts.spans()
+    parts.fold(9, 3)  # repeated
+    assert parts.cover() == [(0, 8), (9, 9), (10, 10), (11, 11)] and len(parts.spans()) <= len(before)
+    assert sorted(map(tuple, read_rates(spark, parts.out).collect())) == expected
+
+
+def test_folded_micro_batches_are_not_counted_again(spark, tmp_path):
+    run, parts, expected = _rate_run(spark, tmp_path, 7)
+    assert run() == expected
+    assert (0, 2) in parts.cover() and parts.holds(1) and not parts.holds(6)
+    assert run(str(tmp_path / "restored")) == expected  # the same micro-batches from the start
+
+
+def test_interrupted_fold_is_not_read(spark, tmp_path):
+    run, parts, expected = _rate_run(spark, tmp_path, 5, fan=100)
+    assert run() == expected
+    parts.read([(0, 0), (1, 1)]).write.parquet(parts.folder((0, 3)))
+    mark = parts._path(f"{parts.folder((0, 3))}/_SUCCESS")
+    parts._fs.delete(mark, False)  # as a writer that was killed leaves it
+    assert sorted(map(tuple, read_rates(spark, parts.out).collect())) == expected
+    parts.fold(4, 4)  # the repeat writes it whole
+    assert parts.cover() == [(0, 3), (4, 4)]
+    assert sorted(map(tuple, read_rates(spark, parts.out).collect())) == expected
