@@ -118,12 +118,11 @@ def sized(frame: DataFrame) -> Measured:
     return Measured(frame, size["rows"], size["bytes"] or 0)
 
 
-def sized_groups(frame: DataFrame, by: str, values: list[str]) -> dict[str, Measured]:
+def sized_groups(frame: DataFrame, by: str, values: list) -> dict[str | int, Measured]:
     """``sized`` for the rows of each of a few configured groups, in one pass."""
-    rows = (
-        frame.where(F.col(by).isin(*values)).groupBy(by).agg(*_size_columns(frame.drop(by)))
-    ).collect()
-    sizes = {r[by]: (r["rows"], r["bytes"]) for r in rows}
+    counts = [*_size_columns(frame.drop(by)), *value_range(frame)]
+    rows = frame.where(F.col(by).isin(*values)).groupBy(by).agg(*counts).collect()
+    sizes = {r[by]: tuple(r)[1:] for r in rows}
     return {
         v: Measured(frame.where(F.col(by) == v).drop(by), *sizes.get(v, (0, 0))) for v in values
     }

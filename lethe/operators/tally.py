@@ -15,12 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lethe.config import DeletionRule, KeyPath, small_frame
+from lethe.operators.probes import probe
 from lethe.operators.reach import Reacher, guarded_match
 from lethe.operators.sizing import VALUE, Measured, keyed_join
 
 #: a rule with the values its keys reach
 Claim = tuple[DeletionRule, Reacher]
-_ENTRY_BYTES = 24
 _TALLY = "_no int, chunk_no int, row_count bigint"
 
 
@@ -32,33 +32,6 @@ def _compared(path: KeyPath) -> KeyPath:
     )
 
 
-def _probe(members: list[tuple[int, int, Measured]]) -> Measured:
-    """(_value, _by): what reaches a value, of rules whose values have one type."""
-    tagged = [
-        m.frame.select(
-            VALUE,
-            F.struct(
-                F.lit(group).alias("of"),
-                F.col("chunk_no").cast("int").alias("chunk_no"),
-                F.lit(number).alias("no"),
-            ).alias("_by"),
-        )
-        for number, group, m in members
-    ]
-    if len(tagged) == 1:
-        frame = tagged[0].select(VALUE, F.array("_by").alias("_by"))
-    else:
-        union = reduce(DataFrame.unionByName, tagged)
-        frame = union.groupBy(VALUE).agg(F.collect_list("_by").alias("_by"))
-    rows = sum(m.rows for _, _, m in members)
-    size = sum(m.bytes + _ENTRY_BYTES * m.rows for _, _, m in members)
-    filled = [m for _, _, m in members if m.rows]
-    known = all(m.low is not None and m.high is not None for m in filled)
-    low = min((m.low for m in filled), default=None) if known else None
-    high = max((m.high for m in filled), default=None) if known else None
-    return Measured(frame, rows, size, low, high)
-
-
 def _of_group(by: Column, group: int) -> Column:
     return F.filter(by, lambda x: x["of"] == group)
 
@@ -77,7 +50,7 @@ def _table_tally(numbered: list[tuple[int, Claim]], once: bool) -> DataFrame:
     rule, reacher = numbered[0][1]
     table = reacher.tables[rule.target_table]
     rows = table.select(*[m.alias(f"_match{i}") for i, m in enumerate(matches.values())])
-    sets = [_probe(members) for members in probes.values()]
+    sets = [probe(members) for members in probes.values()]
     near = [s.in_range(F.col(f"_match{i}"), rows) for i, s in enumerate(sets)]
     rows = rows.where(reduce(or_, near))
     if all(s.broadcastable() for s in sets):
@@ -85,8 +58,8 @@ def _table_tally(numbered: list[tuple[int, Claim]], once: bool) -> DataFrame:
     else:
         # a hot value is counted before it travels
         rows = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n"))
-    for i, probe in enumerate(sets):
-        rows = keyed_join(rows, F.col(f"_match{i}"), probe, "left").withColumnRenamed("_by", f"_by{i}")
+    for i, values in enumerate(sets):
+        rows = keyed_join(rows, F.col(f"_match{i}"), values, "left").withColumnRenamed("_by", f"_by{i}")
     lists = [F.coalesce(f"_by{i}", F.array().cast(sets[0].frame.schema["_by"].dataType)) for i in range(len(sets))]
     by = F.concat(*lists)
     if once:

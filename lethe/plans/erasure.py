@@ -18,7 +18,7 @@ from lethe.operators.numbering import assign_chunks
 from lethe.operators.parallel import in_parallel
 from lethe.operators.positions import Reached, reached_rows
 from lethe.operators.purge import by_table, reached_audit, union_all
-from lethe.operators.reach import Reacher
+from lethe.operators.reach import Reacher, prepare_together
 from lethe.operators.sizing import Measured, durable, measured, sized_groups
 from lethe.operators.tally import Claim, tallied_estimates
 from lethe.operators.tasks import (
@@ -176,15 +176,10 @@ def run_deletion_dry_run(
 
 
 def prepared_claims(config: DeletionConfig, reachers: dict[str, Reacher]) -> list[Claim]:
-    """The rules of all groups with the values their keys reach, computed side by side."""
-
-    def prepare(code: str) -> list[Claim]:
-        rules = config.rules_of(code)
-        reachers[code].prepare([r.path for r in rules])
-        return [(r, reachers[code]) for r in rules]
-
-    found = in_parallel(partial(prepare, code) for code in reachers)
-    return [claim for claims in found for claim in claims]
+    """The rules of all groups with the values their keys reach; a common hop is read once."""
+    claims = [(r, reacher) for code, reacher in reachers.items() for r in config.rules_of(code)]
+    prepare_together([(reacher, r.path) for r, reacher in claims])
+    return claims
 
 
 def dry_run_keys(tasks: DataFrame, scope: list[str]) -> dict[str, Measured]:

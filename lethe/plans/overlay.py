@@ -21,7 +21,7 @@ from lethe.config import (
 )
 from lethe.operators.numbering import assign_chunks
 from lethe.operators.purge import by_table, survivors
-from lethe.operators.reach import Reacher
+from lethe.operators.reach import Reacher, prepare_together
 from lethe.operators.sizing import Measured, durable, sized_groups
 from lethe.operators.tally import Claim, tallied_audit, tallied_estimates
 from lethe.operators.tasks import (
@@ -387,8 +387,8 @@ class Overlay:
         claims = []
         for group in MASKING.active_groups():
             rules = MASKING.rules_of(group.group_code, max_order)
-            reacher = self.mask_reacher(group.group_code).prepare([r.path for r in rules])
-            claims += [(r, reacher) for r in rules]
+            claims += [(r, self.mask_reacher(group.group_code)) for r in rules]
+        prepare_together([(reacher, r.path) for r, reacher in claims])
         return claims
 
     def mask_reacher(self, group_code: str) -> Reacher:
