@@ -2,7 +2,8 @@
 
 Every stage takes and (but for the last) returns the columns of ``documents``; what it
 decides about a row goes by ``doc_id``.  Rows without id cannot be named and so are
-never removed.  Rows that repeat an id go only if the stage rejects all of them.
+never removed.  Rows that repeat an id go only if the stage rejects all of them.  Further
+columns are kept whatever their names.
 """
 
 from __future__ import annotations
@@ -30,8 +31,10 @@ def _ready(spark: SparkSession) -> None:
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """``docs`` without the rows of the ids in ``rejected`` (unique)."""
     ids = rejected.select(F.col("doc_id").cast("long").alias("_value"))
-    left = keyed_join(docs, F.col("doc_id").cast("long"), measured(ids), "left_anti")
-    return left.select(*docs.columns)
+    # by position, as a column of documents may be named like one of the join's own
+    own = docs.toDF(*(f"column{i}" for i in range(len(docs.columns))))
+    match = F.col(own.columns[docs.columns.index("doc_id")]).cast("long")
+    return keyed_join(own, match, measured(ids), "left_anti").toDF(*docs.columns)
 
 
 def _rejected(decided: DataFrame) -> DataFrame:

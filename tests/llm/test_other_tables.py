@@ -196,3 +196,22 @@ def test_pipeline_stages(spark, documents, odd):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, SF)
     assert empty.count() == 0
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_stages_keep_columns_named_like_those_of_a_join(spark, tmp_path, broadcast):
+    rows = [(1, "a", 5), (1, "b", 6), (2, "c", 7), (None, "d", 8), (3, "e", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, _value string, _match int")
+    docs = docs.withColumns({"_spread": F.lit("x"), "_copy": F.lit("y"), "column0": F.lit("z")})
+    docs.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    rejected = spark.createDataFrame([(1,), (9,)], "doc_id long")
+    if not broadcast:
+        spark.conf.set("lethe.broadcast.rows", "0")
+    try:
+        left = corpus_pipeline._without(docs, rejected)
+        assert left.columns == docs.columns
+        got = {(r.doc_id, r._value, r._match, r._copy, r.column0) for r in left.collect()}
+    finally:
+        spark.conf.unset("lethe.broadcast.rows")
+    assert got == {(2, "c", 7, "y", "z"), (None, "d", 8, "y", "z"), (3, "e", 9, "y", "z")}
