@@ -91,10 +91,16 @@ def pack(pieces: DataFrame, parameters: PackingParameters = PackingParameters())
 
     Lengths run from 1 to the capacity; every row is placed, in a sequence without
     gaps from offset 0 on.  Rows are told apart by position only, so repeated rows and
-    nulls in other columns are placed like any.  No rows: no rows.
+    nulls in other columns are placed like any.  No rows: no rows.  Other columns are
+    kept whatever their names; own ones called sequence_id or offset give way.
     """
     p = parameters
+    pieces = pieces.drop("sequence_id", "offset")
+    kept = pieces.columns
+    # by position, as a column may be named like one that is added on the way
+    pieces = pieces.toDF(*(f"column{i}" for i in range(len(kept))))
     names = pieces.columns
+    length = names[kept.index("length")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + _BIN
     known = measured(pieces)
     groups = max(1, -(-known.rows // p.pieces_per_partition))
@@ -103,7 +109,7 @@ def pack(pieces: DataFrame, parameters: PackingParameters = PackingParameters())
         "*",
         F.lit(None).cast("long").alias("sequence_id"),
         F.lit(0).cast("long").alias("offset"),
-        F.col("length").cast("long").alias("filled"),
+        F.col(length).cast("long").alias("filled"),
         F.lit(True).alias("open"),
         spread.alias("slot"),
     )
@@ -122,7 +128,7 @@ def pack(pieces: DataFrame, parameters: PackingParameters = PackingParameters())
     result = done[0]
     for more in done[1:]:
         result = result.union(more)
-    return result.select(*names, "sequence_id", "offset")
+    return result.select(*names, "sequence_id", "offset").toDF(*kept, "sequence_id", "offset")
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, list[int]]:

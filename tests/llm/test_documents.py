@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -312,3 +313,20 @@ def test_licences(spark, odd):
     notices = {k for k, line in lines.items() if re.search("icense|rights reserved", line)}
     assert {(r.doc_id, r.paragraph) for r in rows if (r.doc_id, r.paragraph) in lines} == notices
     assert find_licences(odd.where("false")).count() == 0
+
+
+def test_pack_keeps_columns_named_like_its_own(spark):
+    rows = [(i, 100 * (i % 40) + 1, "f", i % 2 == 0, "s", 7, -1) for i in range(300)]
+    plain = spark.createDataFrame(rows, "id long, length long, filled string, open boolean, slot string, offset int, sequence_id int")
+    got = pack(plain).collect()
+    assert set(got[0].asDict()) == set(plain.columns)
+    assert sorted((r.id, r.length, r.filled, r.open, r.slot) for r in got) == [r[:5] for r in rows]
+    bins = defaultdict(list)
+    for r in got:
+        bins[r.sequence_id].append((r.offset, r.length))
+    for own in bins.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= 4096
