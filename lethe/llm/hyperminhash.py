@@ -10,15 +10,19 @@ has the bands of its class of sizes and of the next one.  Documents that share a
 similarity and, where that does not rule the pair out, by their full sets.
 
 Pairs within a band bucket are not spelled out: documents are contracted to
-components while pivots of the bucket are compared with its other components,
-one pivot first, then sixteen times as many each round, until every bucket is one
-component or all its members have been pivots.  So no link between different
-texts is lost to a cap, and a bucket of near copies costs a few pivots only.
+components.  First every bucket's first member, its pivot, is compared with the members
+in other components, so a bucket of near copies becomes one component.  Of a bucket that
+still holds several components, the members outside the largest one are compared with
+each other and with the largest one, in blocks of bounded size: a task counts what all
+of two blocks have in common at once and hands on only which components it joins.  So no
+link between different texts is lost to a cap, no pair becomes a row, and members that
+are one component already are not compared.
 
 Members of a large bucket that link with nothing would meet all others there.  Most of
 them hold many shingles that no other member of an unfinished bucket has.  These are
-counted once, after the first pivots; without them two sets cannot have more in common
-than the smaller number of shared shingles, which rules most such pairs out exactly.
+counted once, after the pivots; without them a set cannot have enough in common with
+any other, which rules most such members out exactly.  What is left, sets just below the
+threshold to many others, is work that grows with the square of such a group.
 """
 
 from __future__ import annotations
@@ -55,6 +59,8 @@ class NearParameters:
     dense_from: int = 96  # sets from about this size have bands of neighbours
     first_share: int = 16  # one bucket in so many is worked on before all others
     sigmas: float = 5.0  # the estimate rules a pair out this far below the threshold
+    block: int = 1 << 18  # shingles, with some for each document, of a block of a bucket
+    each: int = 128  # what a document adds to those
 
     @property
     def buckets(self) -> int:
@@ -313,27 +319,18 @@ def _components(texts: DataFrame, linkable: DataFrame, classes: DataFrame,
     )
     several = classes.groupBy("rep").count().where("count > 1").select("rep")
     # a share of the buckets joins most near copies before the others look for pairs
-    low, high, some = 0, 1, F.pmod(F.col("band"), F.lit(p.first_share)) == 0
-    members = members.withColumn("s", F.col("n"))
-    counted = False
-    while True:
+    for some in (F.pmod(F.col("band"), F.lit(p.first_share)) == 0, F.lit(True)):
         active = (
-            members.join(component, F.col("rep") == F.col("node"))
+            members.where(some)
+            .join(component, F.col("rep") == F.col("node"))
             .drop("node")
             .join(buckets, "band")
         )
-        active = active if some is None else active.where(some)
-        pairs = written(_pivot_pairs(active, low, high, p))
+        pairs = written(_pivot_pairs(active, p))
         component = _contracted(component, _confirmed(pairs, payload, p), wanted.rows)
-        if some is not None:
-            some = None
-            continue
-        low, high = (high if high > 1 else 0), high * 16
-        size = _unfinished(members, component).join(buckets, "band").agg(F.max("size")).first()[0]
-        if size is None or size <= max(low, 2):
-            return component
-        if not counted:
-            members, counted = _with_shared(members, component, buckets, payload, several, p), True
+    rest = _linkable(members, component, buckets, payload, several, p)
+    links = written(_block_pairs(rest, component, payload, p))
+    return _contracted(component, links, wanted.rows)
 
 
 def _unfinished(members: DataFrame, component: DataFrame) -> DataFrame:
@@ -344,15 +341,15 @@ def _unfinished(members: DataFrame, component: DataFrame) -> DataFrame:
     return spread.where("x != y").select("band")
 
 
-def _with_shared(members: DataFrame, component: DataFrame, buckets: DataFrame, payload: DataFrame,
-                 several: DataFrame, p: NearParameters) -> DataFrame:
-    """Members of unfinished buckets of more than two, ``s`` being their shared shingles.
+def _linkable(members: DataFrame, component: DataFrame, buckets: DataFrame, payload: DataFrame,
+              several: DataFrame, p: NearParameters) -> DataFrame:
+    """Members of unfinished buckets of more than two that share enough shingles for a link.
 
-    A shingle is shared if two of the documents here have it.  Those that have too few
-    for any link are left out.  Ids of several different texts keep all shingles.
+    A shingle is shared if two of the documents here have it.  Ids of several different
+    texts keep all shingles.
     """
     bands = _unfinished(members, component).join(buckets.where("size > 2").select("band"), "band")
-    rest = written(members.drop("s").join(bands, "band"))
+    rest = written(members.join(bands, "band"))
     ids = written_values(rest.select(F.col("rep").alias("_value")).distinct())
     entries = keyed_join(payload, F.col("doc_id"), ids, "left_semi").mapInArrow(
         _entries, "doc_id long, shingle long"
@@ -366,8 +363,118 @@ def _with_shared(members: DataFrame, component: DataFrame, buckets: DataFrame, p
         .join(several, F.col("_value") == F.col("rep"), "left_anti")
     )
     known = keyed_join(rest, F.col("rep"), written_values(own), "left")
-    known = known.withColumn("s", F.col("n") - F.coalesce("own", F.lit(0))).drop("own")
-    return written(known.where(100 * F.col("s") >= p.percent * F.col("n")))
+    shared = F.col("n") - F.coalesce("own", F.lit(0))
+    return known.where(100 * shared >= p.percent * F.col("n")).drop("own")
+
+
+def _block_pairs(rest: DataFrame, component: DataFrame, payload: DataFrame,
+                 p: NearParameters) -> DataFrame:
+    """(a, b) components that links within a bucket join.
+
+    Blocks from 0 hold the members outside the largest component of a bucket, further ones
+    the largest component; pairs of blocks with one of the former are compared.  A member's
+    block follows from its id, so blocks come out about as large as meant.
+    """
+    weight = F.col("n") + F.lit(p.each)
+    here = written(
+        rest.join(component, F.col("rep") == F.col("node"))
+        .groupBy("band", "rep", "component")
+        .agg(F.sum(weight).alias("weight"), F.min("u").alias("u"))
+    )
+    per = here.groupBy("band", "component").agg(F.sum("weight").alias("weight"))
+    largest = F.max(F.struct("weight", "component"))
+    split = per.groupBy(F.col("band").alias("_value")).agg(
+        largest["component"].alias("main"),
+        F.ceil((F.sum("weight") - F.max("weight")) / F.lit(p.block)).cast("int").alias("outer"),
+        F.ceil(F.max("weight") / F.lit(p.block)).cast("int").alias("inner"),
+    )
+    split = written_values(split.where("outer > 0"))
+    is_main = F.col("component") == F.col("main")
+    block = F.when(is_main, F.col("outer") + F.floor(F.col("u") * F.col("inner"))).otherwise(
+        F.floor(F.col("u") * F.col("outer"))
+    )
+    last = F.when(is_main, F.col("outer")).otherwise(F.col("outer") + F.col("inner")) - 1
+    placed = keyed_join(here, F.col("band"), split, "inner").select(
+        "rep", "component", is_main.alias("main"), "band", block.alias("block"),
+        F.explode(F.sequence(F.lit(0), last)).alias("other"),
+    )
+    ends = F.least("block", "other"), F.greatest("block", "other")
+    tasks = placed.select("rep", "component", "main", F.xxhash64("band", *ends).alias("task"))
+    sets = payload.select("doc_id", "shingles").join(tasks, F.col("doc_id") == F.col("rep"))
+    dealt = sets.select("task", "component", "main", "shingles").repartition("task")
+    return dealt.sortWithinPartitions("task").mapInArrow(
+        partial(_joined_components, p=p), "a long, b long"
+    )
+
+
+def _joined_components(batches: Iterator[pa.RecordBatch], p: NearParameters) -> Iterator[pa.RecordBatch]:
+    """Rows come in the order of their task."""
+    task, components, mains, sets = None, [], [], []
+    for batch in batches:
+        columns = (batch.column(k).to_pylist() for k in range(4))
+        for own, component, main, shingles in zip(*columns, strict=True):
+            if own != task:
+                if len(sets) > 1:
+                    yield _joins(np.array(components), np.array(mains), sets, p)
+                task, components, mains, sets = own, [], [], []
+            components.append(component)
+            mains.append(main)
+            sets.append(np.frombuffer(shingles, np.uint64))
+    if len(sets) > 1:
+        yield _joins(np.array(components), np.array(mains), sets, p)
+
+
+def _joins(components: np.ndarray, mains: np.ndarray, sets: list[np.ndarray], p: NearParameters) -> pa.RecordBatch:
+    """Pairs of components, no more than there are components, that join all that links join."""
+    outer = np.flatnonzero(~mains)
+    sizes = np.array([len(s) for s in sets])
+    common = common_shingles(sets, outer)
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            x = up
+        return x
+
+    found = []
+    for at in range(0, len(outer), 256):
+        some = outer[at : at + 256]
+        both = common[at : at + 256].astype(np.int64)
+        union = sizes[some][:, None] + sizes[None, :] - both
+        link = (100 * both >= p.percent * union) & (components[some][:, None] != components[None, :])
+        x, y = np.nonzero(link)
+        ends = np.unique(np.stack((components[some[x]], components[y]), axis=1), axis=0)
+        for a, b in ends.tolist():
+            top, other = root(a), root(b)
+            if top != other:
+                parent[max(top, other)] = min(top, other)
+                found.append((a, b))
+    a, b = zip(*found, strict=True) if found else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def common_shingles(sets: list[np.ndarray], some: np.ndarray) -> np.ndarray:
+    """How many elements each of ``some`` of the sets has in common with every set.
+
+    Elements of one set alone are left out; the others are counted a few megabytes of
+    incidences at a time.
+    """
+    sizes = np.array([len(s) for s in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times > 1
+    number = np.cumsum(shared) - 1
+    keep = shared[column]
+    owner, column = np.repeat(np.arange(len(sets)), sizes)[keep], number[column[keep]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    common = np.zeros((len(some), len(sets)), dtype=np.float32)
+    width = max(64, (4 << 20) // len(sets))
+    for low in range(0, int(shared.sum()), width):
+        first, end = np.searchsorted(column, (low, low + width))
+        incidence = np.zeros((len(sets), width), dtype=np.float32)
+        incidence[owner[first:end], column[first:end] - low] = 1
+        common += incidence[some] @ incidence.T
+    return common
 
 
 def _contracted(component: DataFrame, links: DataFrame, rows: int) -> DataFrame:
@@ -384,27 +491,16 @@ def _contracted(component: DataFrame, links: DataFrame, rows: int) -> DataFrame:
     return written(moved.select("node", F.coalesce("new", "component").alias("component")), rows)
 
 
-def _pivot_pairs(active: DataFrame, low: int, high: int, p: NearParameters) -> DataFrame:
-    """Pivots of this round against later members of their bucket in other components.
-
-    In the first round the first member of a bucket is its pivot; later those whose
-    order lies in the share of the bucket that is due.
-    """
-    if high == 1:
-        pivot = F.col("rep") == F.col("first")
-    else:
-        due = F.col("u") * F.col("size")
-        pivot = (due >= low) & (due < high) & (F.col("rep") != F.col("first"))
-    pivots = active.where(pivot).select(
+def _pivot_pairs(active: DataFrame, p: NearParameters) -> DataFrame:
+    """The first member of every bucket against its members in other components."""
+    pivots = active.where(F.col("rep") == F.col("first")).select(
         F.col("band").alias("key"),
-        *(F.col(c).alias(f"p_{c}") for c in ("rep", "n", "u", "s", "component")),
+        *(F.col(c).alias(f"p_{c}") for c in ("rep", "n", "component")),
     )
-    later = (F.col("u") > F.col("p_u")) | ((F.col("u") == F.col("p_u")) & (F.col("rep") > F.col("p_rep")))
-    common = F.least("s", "p_s")  # at most
-    sizes = 100 * common >= p.percent * (F.col("n") + F.col("p_n") - common)
+    small, large = F.least("n", "p_n"), F.greatest("n", "p_n")
     return (
         active.join(pivots, F.col("band") == F.col("key"))
-        .where(later & sizes & (F.col("component") != F.col("p_component")))
+        .where((100 * small >= p.percent * large) & (F.col("component") != F.col("p_component")))
         .select(F.col("p_rep").alias("a"), F.col("rep").alias("b"))
         .distinct()
     )
