@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from lethe.llm.components import connected_components
 from lethe.llm.tables import written, written_values
 from lethe.llm.words import mix, shingle_sets
-from lethe.operators.sizing import durable, keyed_join
+from lethe.operators.sizing import durable, keyed_join, measured
 
 SKETCH = "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>"
 PAYLOAD = "doc_id long, n_shingles long, registers binary, shingles binary"
@@ -270,14 +270,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = linkable.groupBy(*identity).agg(F.min("doc_id").alias("rep"))
     components = _components(texts, linkable, classes, p)
 
+    # copies may be a large share of all rows, so their class is looked up by a join that spreads them
+    key = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.concat_ws(" ", *identity))
+    reps = measured(classes.select(F.concat_ws(" ", *identity).alias("_value"), "rep"))
     narrow = sketch.select("doc_id", *identity)
-    with_rep = narrow.where("n_shingles > 0 and doc_id is not null").join(classes, identity)
-    alone = narrow.where("n_shingles = 0 or doc_id is null").withColumn("rep", F.col("doc_id"))
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep"))
-    labelled = with_rep.select("doc_id", "n_shingles", "rep").unionByName(
-        alone.select("doc_id", "n_shingles", "rep")
+    with_rep = keyed_join(narrow, key, reps, "left").select(
+        "doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep")
     )
-    return labelled.join(components, F.col("rep") == F.col("node"), "left").select(
+    known = written_values(components.select(F.col("node").alias("_value"), "component"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep"))
+    return keyed_join(with_rep, F.col("rep"), known, "left").select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),
