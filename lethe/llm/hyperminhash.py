@@ -258,7 +258,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     >= 75 * union.  ``component_id`` is the smallest id reachable by links and
     ``kept`` says whether it is the own one.  Every row is answered by its own
     text, so exact repetitions of a row are answered alike.  Rows without id link
-    with nothing and are kept, with a null component.  Other columns are not read.
+    with nothing and are kept, with a null component.  An empty table gives no rows, texts
+    are read whole however long, and other columns are not read, whatever their names.
     """
     p = parameters
     texts = docs.select(

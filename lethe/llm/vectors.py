@@ -301,7 +301,9 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     lengths with each other.  Every row is a vector of its own, so exact copies link;
     ``n_links`` counts the other rows linked directly with one of the same component.
     ``component_id`` is the smallest id reachable by links.  Rows without id link with
-    nothing and are kept, with a null component.  Other columns are not read.
+    nothing and are kept, with a null component.  An empty table gives no rows; other
+    columns are not read, whatever their names.  Known fault: different vectors under one
+    id count as one node, so each gets the links of both.
     """
     p = parameters
     columns = vectors.select(
