@@ -9,10 +9,10 @@ from typing import Any
 MAX_JOBS = 8  # driver threads that only wait for jobs; executors are shared by the scheduler
 
 
-def in_parallel(calls: Iterable[Callable[[], Any]]) -> list[Any]:
-    """Results of the calls, in their order; the first failure is raised."""
+def in_parallel(calls: Iterable[Callable[[], Any]], most: int = MAX_JOBS) -> list[Any]:
+    """Results of the calls, in their order, ``most`` at a time; the first failure is raised."""
     calls = list(calls)
-    if len(calls) < 2:
+    if min(most, len(calls)) < 2:
         return [call() for call in calls]
-    with ThreadPoolExecutor(min(MAX_JOBS, len(calls))) as pool:
+    with ThreadPoolExecutor(min(MAX_JOBS, most, len(calls))) as pool:
         return list(pool.map(lambda call: call(), calls))

@@ -5,7 +5,9 @@ index) with the lowest chunk of every path.  Everything else follows from these
 positions: the files that have to be written anew, the counts of the audit, and the rows
 to leave out or to change.  Files without a hit are not read again, and rows of the
 others do not move: positions are packed into words of 64 rows and broadcast, for as many
-files at a time as the measured bound allows.
+files at a time as the measured bound allows.  Words are keyed by the number of their file
+and are counted, if there are more rows than words may be: neighbouring rows share one.
+Frames whose words fit the bound together may be written side by side.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import cached_property, reduce
 from operator import or_
 
 from pyspark.errors import AnalysisException
@@ -26,8 +28,9 @@ from lethe.operators.sizing import Limits, durable, keyed_join
 from lethe.session import shared_folder
 
 FILE, AT = "_file", "_at"
-_WORD, _SLICE = "_word", "_slice"
-_WIDTH = 48  # bytes of a word's row besides the name of its file
+_WORD, _SLICE, _NUMBER = "_word", "_slice", "_file_number"
+_WIDTH = 48  # bytes of a word's row without its sets
+_FILE_SHIFT = 40  # a word's place: the number of its file, then the word's in 40 bits
 
 PartsOf = Callable[[list[str] | None], list[DataFrame]]
 
@@ -53,6 +56,12 @@ def mark_name(number: int) -> str:
     return f"_hit{number}"
 
 
+def _place() -> Column:
+    """A row's word among those of numbered files."""
+    shifted = F.shiftleft(F.col(_NUMBER), _FILE_SHIFT)
+    return shifted + F.floor(F.col(AT) / 64)
+
+
 @dataclass
 class Reached:
     """Rows that paths reach: (_file, _at, _hit0, _hit1, ...) with the chunk per path."""
@@ -66,24 +75,42 @@ class Reached:
     def mark(self, path: KeyPath) -> str:
         return mark_name(self.paths.index(path))
 
-    def _slices(self) -> list[list[str]]:
+    @cached_property
+    def _words_of(self) -> dict[str, int]:
+        """Words of every file, or its reached rows if those are few: it has no more words."""
+        if sum(self.files.values()) <= Limits.of(self.rows.sparkSession).rows:
+            return self.files
+        words = self.rows.select(FILE, F.floor(F.col(AT) / 64).alias(_WORD)).distinct()
+        # one row per file hit
+        return {r[FILE]: r["count"] for r in words.groupBy(FILE).count().collect()}
+
+    def _most(self, marks: int) -> int:
+        """Words that may be broadcast together."""
+        limits = Limits.of(self.rows.sparkSession)
+        return min(limits.rows, limits.bytes // (_WIDTH + 8 * marks))
+
+    def _slices(self, marks: int = 1) -> list[list[str]]:
         """Files in lists whose positions may be broadcast together.
 
         One file alone is always taken: its words are a 64th of its rows at most.
         """
-        limits = Limits.of(self.rows.sparkSession)
-        longest = max(map(len, self.files), default=0)
-        most = min(limits.rows, limits.bytes // (longest + _WIDTH))
+        rows, most = Limits.of(self.rows.sparkSession).rows, self._most(marks)
         slices: list[list[str]] = []
-        used = most
+        used = words = 0
         for name, hits in sorted(self.files.items()):
-            if not slices or used + hits > most:
+            if not slices or used + hits > rows or words + self._words_of[name] > most:
                 slices.append([])
-                used = 0
+                used = words = 0
             slices[-1].append(name)
             used += hits
+            words += self._words_of[name]
         return slices
 
+    def at_once(self, marks: int = 1) -> int:
+        """Frames of ``with_marks`` whose words may be broadcast side by side."""
+        largest = max((sum(self._words_of[n] for n in s) for s in self._slices(marks)), default=0)
+        return max(1, self._most(marks) // max(1, largest))
+
     def _rows_of_slices(self, slices: list[list[str]]) -> list[DataFrame]:
         if len(slices) < 2:
             return [self.rows] * len(slices)
@@ -100,28 +127,31 @@ class Reached:
             spark.read.schema(plain).parquet(f"{folder}/{_SLICE}={i}") for i in range(len(slices))
         ]
 
-    def _words(self, rows: DataFrame, marks: dict[str, Column]) -> DataFrame:
-        """(_file, _word, one set of 64 bits per mark)."""
+    def _words(self, rows: DataFrame, numbers: DataFrame, marks: dict[str, Column]) -> DataFrame:
+        """(_word, one set of 64 bits per mark), the word with the number of its file."""
         bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col(AT) % 64).cast("int"))
         bits = [F.bit_or(F.when(hit, bit)).alias(name) for name, hit in marks.items()]
-        return rows.groupBy(FILE, F.floor(F.col(AT) / 64).alias(_WORD)).agg(*bits)
+        return rows.join(numbers, FILE).groupBy(_place().alias(_WORD)).agg(*bits)
 
     def with_marks(self, marks: dict[str, Column]) -> Iterator[DataFrame]:
         """All rows of the files hit, slice by slice, with a boolean column per mark.
 
         ``marks`` are conditions on the reached rows' columns.
         """
-        slices = self._slices()
+        slices = self._slices(len(marks))
+        spark = self.rows.sparkSession
         for files, rows in zip(slices, self._rows_of_slices(slices), strict=True):
-            words = F.broadcast(self._words(rows, marks))
+            pairs = [(name, i) for i, name in enumerate(files)]
+            numbers = F.broadcast(small_frame(spark, pairs, f"{FILE} string, {_NUMBER} bigint"))
+            words = F.broadcast(self._words(rows, numbers, marks))
             for part in self.parts_of(files):
-                row = located(part).withColumn(_WORD, F.floor(F.col(AT) / 64))
-                joined = row.join(words, [FILE, _WORD], "left")
+                row = located(part).join(numbers, FILE, "left").withColumn(_WORD, _place())
+                joined = row.join(words, _WORD, "left")
                 flags = {
                     name: F.coalesce(F.getbit(F.col(name), (F.col(AT) % 64).cast("int")), F.lit(0)) == 1
                     for name in marks
                 }
-                yield joined.withColumns(flags).drop(FILE, AT, _WORD)
+                yield joined.withColumns(flags).drop(FILE, AT, _WORD, _NUMBER)
 
     def without(self) -> Iterator[DataFrame]:
         """The rows of the files hit that no path reaches, slice by slice."""

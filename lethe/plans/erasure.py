@@ -358,7 +358,8 @@ def _purge_group(
     def rewrite(name: str, members: list[DeletionRule]) -> DataFrame:
         reached = reached_in(change, name, [r.path for r in members], reacher)
         if reached.files:  # if no row is reached, the table stays as it is
-            change.replace_files(name, list(reached.files), reached.without())
+            frames = reached.without()
+            change.replace_files(name, list(reached.files), frames, reached.at_once())
             reached.release()
         return reached_audit(members, reached, chunks)
 

@@ -189,7 +189,9 @@ def _mask_group(
         own = [s for s in steps if s.target_table == name]
         reached = erasure.reached_in(change, name, [s.path for s in own], reacher)
         if reached.files:  # a table in which nothing is reached stays as it is
-            change.replace_files(name, list(reached.files), masked_files(reached, own, parameters))
+            frames = masked_files(reached, own, parameters)
+            at_once = reached.at_once(len(reached.paths))
+            change.replace_files(name, list(reached.files), frames, at_once)
             reached.release()
         # each table is timed on its own; its chunks are masked in one go
         seconds = (time.monotonic() - began) / len(own) / n_chunks

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime
+import threading
+import time
 from decimal import Decimal
 
 import pytest
@@ -22,7 +24,7 @@ from lethe.operators.purge import survivors
 from lethe.operators.reach import Reacher
 from lethe.plans import erasure
 from lethe.plans import masking as mask_plan
-from lethe.sources.snapshots import SnapshotStore
+from lethe.sources.snapshots import SnapshotStore, Transaction
 
 PURGE = DeletionConfig([Group("G", "T", chunk_size=2)], [DeletionRule("G", "t", 1, KeyPath("id", "bigint"))])
 
@@ -150,6 +152,39 @@ def test_slices_cover_every_file_once(spark, tmp_path):
         spark.conf.unset("lethe.broadcast.rows")
 
 
+@pytest.mark.parametrize(("step", "side_by_side"), [(2, True), (64, False)])
+def test_slices_whose_words_fit_together_are_written_side_by_side(
+    spark, store, monkeypatch, step, side_by_side
+):
+    """Reached rows that share words are few words; far apart each is one of its own."""
+    store.put("t", spark.range(1_280).selectExpr("id", "0 AS k").repartitionByRange(4, "id"))
+    running, most = [], []
+    write = Transaction._write
+
+    def watched(change, name, frame, partition_by):
+        if name != "t":
+            return write(change, name, frame, partition_by)
+        running.append(threading.get_ident())
+        most.append(len(running))
+        time.sleep(1)
+        try:
+            return write(change, name, frame, partition_by)
+        finally:
+            running.remove(threading.get_ident())
+
+    monkeypatch.setattr(Transaction, "_write", watched)
+    doomed = range(0, 1_280, step)
+    spark.conf.set("lethe.broadcast.rows", str(len(doomed) // 4 + 1))
+    try:
+        purge(spark, store, doomed)
+    finally:
+        spark.conf.unset("lethe.broadcast.rows")
+    assert len(most) == 4 and (max(most) > 1) == side_by_side
+    assert {r.id for r in store.read("t").collect()} == set(range(1_280)) - set(doomed)
+    audit = store.read(erasure.AUDIT).collect()
+    assert sum(r.deleted_row_count for r in audit) == len(doomed)
+
+
 def test_an_adopted_partitioned_table_stays_partitioned(spark, store, tmp_path):
     source = str(tmp_path / "source dir")
     spark.range(60).selectExpr("id", "concat('p ', id % 3) AS p").repartition(2).write.partitionBy(
