@@ -9,7 +9,7 @@ labelled rows kept aside and combined there, and all documents are scored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -22,6 +22,9 @@ from lethe.llm.words import byte_column, word_hashes
 from lethe.operators.sizing import durable, keyed_join, measured
 
 SOURCES, LANGUAGES = 256, 32
+FIT_ROWS = 1_000  # rows whose features the driver holds at once
+#: rows of a view to their features; None if they are these
+Spread = Callable[[np.ndarray], np.ndarray] | None
 _KINDS = ("upper", "lower", "digit", "space", "line", "loud", "symbol", "bar", "stop", "other", "high")
 TEXT_FEATURES = (*_KINDS, "log_words", "distinct", "again", "word_length", "empty")
 _KIND = np.full(256, _KINDS.index("other"), dtype=np.uint8)
@@ -56,18 +59,28 @@ class Linear:
         return (x @ self.weights + self.bias) * self.slope + self.shift
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float) -> Linear:
-    """Ridge-penalised logistic regression by Newton steps; classes weigh the same."""
-    x1 = np.column_stack([x, np.ones(len(x))])
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float, spread: Spread = None) -> Linear:
+    """Ridge-penalised logistic regression by Newton steps; classes weigh the same.
+
+    ``spread`` turns rows of ``x`` into their features, a block at a time, so the driver
+    never holds the wide rows of a whole sample.
+    """
+    spread = spread or (lambda rows: rows)
     share = np.clip(y.mean(), 1e-6, 1 - 1e-6)
     importance = np.where(y > 0.5, 0.5 / share, 0.5 / (1 - share))
-    w = np.zeros(x1.shape[1])
+    w = np.zeros(spread(x[:1]).shape[1] + 1)
     penalty = np.full(len(w), ridge)
     penalty[-1] = 1e-6
     for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x1 @ w, -30, 30)))
-        gradient = x1.T @ (importance * (y - p)) - penalty * w
-        curve = (x1 * (importance * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x1
+        gradient = -penalty * w
+        curve = np.zeros((len(w), len(w)))
+        for at in range(0, len(x), FIT_ROWS):
+            some = slice(at, at + FIT_ROWS)
+            features = spread(x[some])
+            x1 = np.column_stack([features, np.ones(len(features))])
+            p = 1 / (1 + np.exp(-np.clip(x1 @ w, -30, 30)))
+            gradient += x1.T @ (importance[some] * (y[some] - p))
+            curve += (x1 * (importance[some] * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x1
         step = np.linalg.solve(curve + np.diag(penalty), gradient)
         w += step * min(1.0, 5.0 / max(1e-12, np.abs(step).max()))
         if np.abs(step).max() < 1e-6:
@@ -75,9 +88,16 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float) -> Linear:
     return Linear(w[:-1], float(w[-1]))
 
 
-def calibrated(model: Linear, x: np.ndarray, y: np.ndarray) -> Linear:
+def logits_of(model: Linear, x: np.ndarray, spread: Spread = None) -> np.ndarray:
+    """The model's logits, a block of rows at a time."""
+    spread = spread or (lambda rows: rows)
+    parts = [model.logit(spread(x[at : at + FIT_ROWS])) for at in range(0, len(x), FIT_ROWS)]
+    return np.concatenate(parts) if parts else np.zeros(0)
+
+
+def calibrated(model: Linear, x: np.ndarray, y: np.ndarray, spread: Spread = None) -> Linear:
     """The model with its logit mapped to the shares seen on rows it was not fitted on."""
-    z = model.logit(x)[:, None]
+    z = logits_of(model, x, spread)[:, None]
     x1 = np.column_stack([z, np.ones(len(z))])
     w = np.array([1.0, 0.0])
     for _ in range(30):
@@ -148,23 +168,29 @@ def _features(docs: DataFrame, id_col: str, text_col: str, source_col: str, lang
     )
 
 
-def _meta_view(source: np.ndarray, language: np.ndarray, size: np.ndarray) -> np.ndarray:
-    n = len(source)
+def _meta_view(rows: np.ndarray) -> np.ndarray:
+    """Features of the metadata of some rows (source, language, size)."""
+    n, size = len(rows), rows[:, 2]
     x = np.zeros((n, SOURCES + LANGUAGES + 2))
-    x[np.arange(n), source] = 1
-    x[np.arange(n), SOURCES + language] = 1
+    x[np.arange(n), rows[:, 0].astype(int)] = 1
+    x[np.arange(n), SOURCES + rows[:, 1].astype(int)] = 1
     x[:, -2], x[:, -1] = size / 10, (size / 10) ** 2
     return x
 
 
+_SPREAD: dict[str, Spread] = {"text": None, "meta": _meta_view}
+
+
 def _rows(frame: DataFrame) -> dict[str, np.ndarray]:
     """A bounded number of feature rows as arrays."""
-    table = frame.select("source", "language", "size", "text_view", "y").toPandas()
-    texts = np.array(table["text_view"].tolist(), dtype=float).reshape(-1, len(TEXT_FEATURES))
-    meta = _meta_view(
-        table["source"].to_numpy(int), table["language"].to_numpy(int), table["size"].to_numpy(float)
-    )
-    return {"text": texts, "meta": meta, "y": table["y"].to_numpy(float)}
+    table = frame.select("source", "language", "size", "text_view", "y").toArrow()
+    flat = table["text_view"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    meta = [table[c].to_numpy().astype(float) for c in ("source", "language", "size")]
+    return {
+        "text": flat.astype(float).reshape(-1, len(TEXT_FEATURES)),
+        "meta": np.column_stack(meta),
+        "y": table["y"].to_numpy().astype(float),
+    }
 
 
 def _text_logit(m: Linear, mean: np.ndarray, scale: np.ndarray) -> Column:
@@ -234,7 +260,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     asides = {"text": standard(aside["text"]), "meta": aside["meta"]}
     for step in range(p.rounds + 1):
         models = {
-            k: calibrated(fit_logistic(x, y, p.ridge), asides[k], aside["y"])
+            k: calibrated(fit_logistic(x, y, p.ridge, _SPREAD[k]), asides[k], aside["y"], _SPREAD[k])
             for k, (x, y) in views.items()
         }
         logits = {"text": _text_logit(models["text"], mean, scale), "meta": _meta_logit(models["meta"])}
@@ -245,7 +271,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                     x = standard(rows["text"]) if taker == "text" else rows["meta"]
                     old, y = views[taker]
                     views[taker] = np.vstack([old, x]), np.concatenate([y, rows["y"]])
-    both = np.column_stack([models[k].logit(asides[k]) for k in ("text", "meta")])
+    both = np.column_stack([logits_of(models[k], asides[k], _SPREAD[k]) for k in ("text", "meta")])
     final = calibrated(fit_logistic(both, aside["y"], p.ridge), both, aside["y"])
     a, b = (float(w) for w in final.weights)
     logit = (logits["text"] * a + logits["meta"] * b + final.bias) * final.slope + final.shift

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -11,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from lethe.llm import quality
 from lethe.llm.chat import RepairCosts, repair_conversations, repaired_roles
 from lethe.llm.html_extract import extract_main_text, main_text
 from lethe.llm.vectors import PassParameters, near_vectors
@@ -215,3 +217,18 @@ def test_stages_keep_columns_named_like_those_of_a_join(spark, tmp_path, broadca
     finally:
         spark.conf.unset("lethe.broadcast.rows")
     assert got == {(2, "c", 7, "y", "z"), (None, "d", 8, "y", "z"), (3, "e", 9, "y", "z")}
+
+
+def test_the_fit_holds_the_wide_features_of_few_rows_at_once():
+    rng = np.random.default_rng(3)
+    rows = np.column_stack([rng.integers(0, 256, 20_000), rng.integers(0, 32, 20_000), rng.random(20_000)])
+    y = (rows[:, 0] % 2 == 0).astype(float)
+    tracemalloc.start()
+    model = quality.fit_logistic(rows, y, 1.0, quality._meta_view)
+    logits = quality.logits_of(model, rows, quality._meta_view)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 << 20  # the features of all rows are 44 MB
+    assert ((logits > 0) == (y > 0.5)).all()
+    whole = quality.fit_logistic(quality._meta_view(rows), y, 1.0)
+    assert np.allclose(model.weights, whole.weights) and np.isclose(model.bias, whole.bias)
